@@ -10,7 +10,7 @@ give candidates: a pair at J = 0.75 escapes all bands with probability (1 - 0.75
 Texts with one word sequence are folded into a class first (they are linked without any check), so copies never
 meet in buckets. In each bucket every class is held against the bucket's smallest one; links are confirmed on full
 sets. Where a bucket still holds several components after that, pairs across its components are held against each
-other too, so no candidate link between different components is left unchecked.
+other too (in large buckets block by block), so no candidate link between different components is left unchecked.
 
 Defined cases: null, empty or white-space texts have no shingles and are their own component; a null doc_id cannot be
 named: its row is kept, linked with nothing, and component_id is null; repeated rows share a component; an empty
@@ -23,6 +23,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,9 @@ PERCENT = 75
 ROWS, BANDS = 5, 40
 COORDINATES = ROWS * BANDS
 CHUNK = 1 << 20
+#: Members of a mixed bucket up to which pairs across its components are rows; larger ones go by blocks.
+BUCKET = 32
+BLOCK = 200
 SEED = 7_919
 
 _U = np.uint64
@@ -206,6 +210,56 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
     return written(both.filter(100 * F.col("_common") >= PERCENT * (F.col("n") + F.col("m") - F.col("_common"))).select("a", "b"), name)
 
 
+def _block_pair(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Links that join components, among the documents of two blocks: counts of common shingles by products of 0/1 matrices."""
+    rows = rows.drop_duplicates("id")
+    ids, n, component, block = (rows[c].to_numpy() for c in ("id", "n", "component", "block"))
+    lengths = np.array([len(x) for x in rows["items"]])
+    owner = np.repeat(np.arange(len(rows)), lengths)
+    _, item = np.unique(np.concatenate(list(rows["items"])), return_inverse=True)
+    order = np.argsort(item, kind="stable")
+    owner, item = owner[order], item[order]
+    common = np.zeros((len(rows), len(rows)), np.float32)
+    for low in range(0, int(item[-1]) + 1, 4096):
+        lo, hi = np.searchsorted(item, [low, low + 4096])
+        part = np.zeros((len(rows), 4096), np.float32)
+        part[owner[lo:hi], item[lo:hi] - low] = 1
+        common += part @ part.T
+    common = common.astype(np.int64)
+    linked = (100 * common >= PERCENT * (n[:, None] + n[None, :] - common)) & (component[:, None] != component[None, :])
+    if key[1] != key[2]:
+        linked &= block[:, None] != block[None, :]
+    root = {c: c for c in component}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    out = []
+    for i, j in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
+        a, b = find(component[i]), find(component[j])
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            out.append((ids[i], ids[j]))
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
+def _block_links(large: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links across components in large buckets. Buckets that share members become one group; a group is cut into blocks of
+    about BLOCK documents, and each pair of blocks is held against each other in a task of its own. Pairs of documents are never rows."""
+    heads = written(large.groupBy("key").agg(F.min("id").alias("head")), "heads")
+    groups = connected_components(large.select("key", "id").join(heads, "key").select("id", "head"), "id", "head")
+    members = large.select("id", "n", F.col("component")).distinct().join(groups.select(F.col("node").alias("id"), F.col("component").alias("group")), "id")
+    members = written(members, "members")
+    blocks = members.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    placed = members.join(written(blocks, "groups"), "group").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("id", "n", "component", "group", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
+    full = dealt.join(sets, "id")
+    return written(full.groupBy("group", "i", "j").applyInPandas(_block_pair, "a long, b long"), "across-blocks")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
@@ -215,6 +269,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = written(classes.select("k1", "k2", F.col("_c.doc_id").alias("id"), F.col("_c.n").alias("n"), F.col("_c.bands").alias("bands")), "classes")
     buckets = classes.select("id", "n", F.explode("bands").alias("key"))
     heads = buckets.groupBy("key").agg(F.min(F.struct("id", "n")).alias("_h"), F.count(F.lit(1)).alias("c")).filter("c > 1")
+    heads = written(heads, "bucket-heads")
     members = written(buckets.join(heads.select("key", F.col("_h.id").alias("head"), F.col("_h.n").alias("m"), "c"), "key"), "buckets")
     pairs = members.filter((F.col("id") != F.col("head")) & _alike("n", "m"))
     pairs = written(pairs.select(F.col("id").alias("a"), "n", F.col("head").alias("b"), "m").distinct(), "pairs")
@@ -226,11 +281,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     in_buckets = members.filter("c > 2").join(component.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component"))
     mixed = in_buckets.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
     open_ = written(in_buckets.join(mixed, "key", "left_semi"), "open")
-    other = open_.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
-    across = open_.withColumnRenamed("id", "a").join(other, "key").filter((F.col("a") > F.col("b")) & (F.col("component") != F.col("other")) & _alike("n", "m"))
+    sizes = open_.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    small = open_.join(sizes.filter(F.col("size") <= BUCKET).select("key"), "key", "left_semi")
+    other = small.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
+    across = small.withColumnRenamed("id", "a").join(other, "key").filter((F.col("a") > F.col("b")) & (F.col("component") != F.col("other")) & _alike("n", "m"))
     across = written(across.select("a", "n", "b", "m").distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "across")
-    if not across.isEmpty():
-        component = connected_components(links.unionByName(_confirmed(across, sets, "more")), "a", "b")
+    more = None if across.isEmpty() else _confirmed(across, sets, "more")
+    large = open_.join(sizes.filter(F.col("size") > BUCKET).select("key"), "key", "left_semi")
+    if not large.isEmpty():
+        found = _block_links(large, sets)
+        more = found if more is None else more.unionByName(found)
+    if more is not None:
+        component = connected_components(links.unionByName(more), "a", "b")
     named = classes.select("k1", "k2", "id").join(component.withColumnRenamed("node", "id"), "id", "left")
     named = named.select("k1", "k2", F.coalesce("component", "id").alias("_component"))
     narrow = signed.select("doc_id", "k1", "k2", F.col("n").alias("n_shingles"))
