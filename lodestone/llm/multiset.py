@@ -21,13 +21,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm._shared import quantile_buckets, read, text_of
+from lodestone.llm._shared import quantile_buckets, read, text_of, written
 
 FIELD = 20
 HASHES = 3
 MASK = (1 << 60) - 1
 ONES = 1 | 1 << FIELD | 1 << 2 * FIELD
 WORDS = HASHES * FIELD
+ROWS_PER_BUCKET = 500
+BROADCAST_ROWS = 200_000
 PARAGRAPH = r"\n+|(?<=[.!?])[ \t]+"
 
 
@@ -86,15 +88,17 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """doc_id, text, words (the fingerprint) and next_text, next_words of the following document."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).withColumn("_tie", F.xxhash64("text"))
     n = rows.count()
-    placed = quantile_buckets(rows, "doc_id", "_b", n)
+    placed = quantile_buckets(rows, "doc_id", "_b", n, ROWS_PER_BUCKET)
     firsts = placed.groupBy("_b").agg(F.min(F.struct("doc_id", "_tie")).alias("_f"))
-    following = _next_buckets(firsts.select("_b"))
-    heads = firsts.select("_b", F.col("_f.doc_id").alias("_id"), F.col("_f._tie").alias("_t"))
+    heads = written(firsts.select("_b", F.col("_f.doc_id").alias("_id"), F.col("_f._tie").alias("_t")), "heads")
+    following = _next_buckets(heads.select("_b"))
+    if heads.count() <= BROADCAST_ROWS:
+        heads = F.broadcast(heads)
     same = placed["doc_id"].eqNullSafe(heads["_id"]) & (placed["_tie"] == heads["_t"])
     head_rows = placed.drop("_b").join(heads, same).groupBy("_b").agg(F.first("text").alias("_head"))
     head_rows = head_rows.join(following.select(F.col("_b").alias("_from"), F.col("_after").alias("_b")), "_b").select(F.col("_from").alias("_b"), F.struct(F.col("_head").alias("text"), fingerprint(F.col("_head")).alias("words")).alias("_head"))
     order = Window.partitionBy("_b").orderBy("doc_id", "_tie")
-    led = placed.withColumn("words", fingerprint(F.col("text"))).withColumn("_lead", F.lead(F.struct("text", "words")).over(order))
+    led = placed.repartition("_b").withColumn("words", fingerprint(F.col("text"))).withColumn("_lead", F.lead(F.struct("text", "words")).over(order))
     out = led.join(head_rows, "_b", "left").withColumn("_next", F.coalesce("_lead", "_head"))
     return out.select("doc_id", "text", "words", F.col("_next.text").alias("next_text"), F.col("_next.words").alias("next_words"))
 
