@@ -268,10 +268,10 @@ def threat_ratio(s: SparkSession, d: str) -> DataFrame:
     return t.groupBy(F.when(F.col("tank").isNull(), "none").when(F.col("other").isNull() | (ratio < 0.5), "low").when(ratio < 1, "high").otherwise("over").alias("threat")).agg(count().alias("n"))
 
 
-@query("SELECT l_orderkey, bool_and(l_quantity > 5) AS all_large, bool_or(l_discount > 0.09) AS any_cheap, count(*) FILTER (WHERE l_quantity > 25 AND l_discount < 0.05) AS both FROM lineitem GROUP BY 1")
+@query("SELECT l_orderkey, bool_and(l_quantity > 5) AS all_large, bool_or(l_discount > 0.09) AS any_cheap, count(*) FILTER (WHERE l_quantity > 25 AND l_discount < 0.05) AS both_hold FROM lineitem GROUP BY 1")
 def bool_group(s: SparkSession, d: str) -> DataFrame:
     """All, any, and a true count."""
-    return table(s, d, "lineitem").groupBy("l_orderkey").agg(F.bool_and(F.col("l_quantity") > 5).alias("all_large"), F.bool_or(F.col("l_discount") > 0.09).alias("any_cheap"), F.count_if(scoring.all_of([F.col("l_quantity") > 25, F.col("l_discount") < 0.05])).alias("both"))
+    return table(s, d, "lineitem").groupBy("l_orderkey").agg(F.bool_and(F.col("l_quantity") > 5).alias("all_large"), F.bool_or(F.col("l_discount") > 0.09).alias("any_cheap"), F.count_if(scoring.all_of([F.col("l_quantity") > 25, F.col("l_discount") < 0.05])).alias("both_hold"))
 
 
 @query("""
