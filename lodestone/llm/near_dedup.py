@@ -278,16 +278,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = written(texts.mapInArrow(_sets, "id long, items array<long>"), "sets")
     links = _confirmed(pairs, sets, "links")
     component = connected_components(links, "a", "b")
-    in_buckets = members.filter("c > 2").join(component.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component"))
+    in_buckets = members.filter("c > 2").join(component.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", "c", F.coalesce("component", "id").alias("component"))
     mixed = in_buckets.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
     open_ = written(in_buckets.join(mixed, "key", "left_semi"), "open")
-    sizes = open_.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    small = open_.join(sizes.filter(F.col("size") <= BUCKET).select("key"), "key", "left_semi")
+    small = open_.filter(F.col("c") <= BUCKET)
     other = small.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
     across = small.withColumnRenamed("id", "a").join(other, "key").filter((F.col("a") > F.col("b")) & (F.col("component") != F.col("other")) & _alike("n", "m"))
     across = written(across.select("a", "n", "b", "m").distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "across")
     more = None if across.isEmpty() else _confirmed(across, sets, "more")
-    large = open_.join(sizes.filter(F.col("size") > BUCKET).select("key"), "key", "left_semi")
+    large = open_.filter(F.col("c") > BUCKET)
     if not large.isEmpty():
         found = _block_links(large, sets)
         more = found if more is None else more.unionByName(found)
