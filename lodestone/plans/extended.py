@@ -212,3 +212,36 @@ def rewritten_names(s: SparkSession, d: str) -> DataFrame:
 def vendor_items(s: SparkSession, d: str) -> DataFrame:
     """S7."""
     return table(s, d, "lineitem").filter("l_partkey > 0 AND l_discount > 0.05").select("l_partkey").distinct()
+
+
+@query("""
+SELECT p_partkey, CAST(greatest(0, CASE WHEN p_partkey % 2 = 0 THEN p_size * 3 + p_partkey % 7 ELSE 0 END + CASE WHEN p_partkey % 3 = 0 THEN p_size * 2 ELSE 0 END - 40) AS BIGINT) AS weight FROM part""")
+def gated_weight(s: SparkSession, d: str) -> DataFrame:
+    """Whole-number weights behind gates, never below 0."""
+    size, key = F.col("p_size"), F.col("p_partkey")
+    weight = F.when(key % 2 == 0, size * 3 + key % 7).otherwise(0) + F.when(key % 3 == 0, size * 2).otherwise(0) - 40
+    return table(s, d, "part").select("p_partkey", F.greatest(F.lit(0), weight).cast("long").alias("weight"))
+
+
+@query("""
+SELECT p_partkey, CAST(p_size AS INTEGER) AS low, CAST(p_size + 5 AS INTEGER) AS high, n::BIGINT AS spell FROM part, unnest([p_partkey, p_partkey + 1]) AS t(n) WHERE p_size IS NOT NULL""")
+def buff_matrix(s: SparkSession, d: str) -> DataFrame:
+    """X19: '#name:meta:...:spells' taken apart: one row per spell, with the metadata as numbers."""
+    key, size = F.col("p_partkey"), F.col("p_size")
+    line = F.concat(F.lit("#"), F.concat_ws(":", key, F.lit(0), F.lit(0), F.lit(0), size, size + 5, F.concat_ws(",", key, key + 1)))
+    rows = table(s, d, "part").filter("p_size IS NOT NULL").select(line.alias("line"))
+    field = F.split(F.substring("line", 2, 1_000_000), ":")
+    parsed = rows.filter(F.col("line").startswith("#")).select(field[0].cast("long").alias("p_partkey"), field[4].cast("int").alias("low"), field[5].cast("int").alias("high"), F.explode(F.split(field[6], ",")).alias("spell"))
+    return parsed.withColumn("spell", F.col("spell").cast("long"))
+
+
+@query("""
+SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_quantity BETWEEN 5 AND 45 AND l_discount < 0.08 AND l_tax > 0.01 AND l_returnflag IN ('A', 'N') AND l_linestatus = 'O' AND l_linenumber < 6
+  AND l_partkey % 11 <> 0 AND NOT (l_suppkey % 13 = 0 AND l_quantity > 30) AND l_shipdate IS NOT NULL GROUP BY 1""")
+def eligible_lines(s: SparkSession, d: str) -> DataFrame:
+    """a long conjunction, as far as possible pushed to the scan."""
+    ok = (
+        F.col("l_quantity").between(5, 45) & (F.col("l_discount") < 0.08) & (F.col("l_tax") > 0.01) & F.col("l_returnflag").isin("A", "N") & (F.col("l_linestatus") == "O")
+        & (F.col("l_linenumber") < 6) & (F.col("l_partkey") % 11 != 0) & ~((F.col("l_suppkey") % 13 == 0) & (F.col("l_quantity") > 30)) & F.col("l_shipdate").isNotNull()
+    )
+    return table(s, d, "lineitem").filter(ok).groupBy("l_suppkey").agg(count().alias("n"))

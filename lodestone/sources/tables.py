@@ -1,4 +1,4 @@
-"""Tables, caches, key-value stores, files."""
+"""Tables, caches, key-value stores, files (S1 to S19 but S8, S15 and S16)."""
 
 from __future__ import annotations
 
