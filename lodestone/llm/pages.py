@@ -4,15 +4,15 @@ Every page is parsed leniently (implied end tags, raw text of scripts and styles
 of one host are merged by path: an element node is the chain of tags with first class and id. Over the pages that
 have it, the entropies of its presentation (the styles of its children) and of its content (its text) are divided by
 the logarithm of their number, so 0 means always the same and 1 always different. Importance = GAMMA * content +
-(1 - GAMMA) * presentation. A path on at least PAGES pages of its host with an importance below LEAST is a low
-branch and is removed, as are the tags, classes, ids and roles that name menus, headers, footers, sidebars, notices,
-adverts, forms and comments (a host with few pages has no statistics). Inside an article or main element only the
-latter are removed, and if a page has such an element with text, the text is taken from there.
+(1 - GAMMA) * presentation. A path with text on at least PAGES different pages of its host with an importance below
+LEAST is a low branch and is removed, inside an article or main element too, as are the tags, classes, ids and roles
+that name menus, headers, footers, sidebars, notices, adverts, forms and comments (a host with few pages has no
+statistics). No element drops the text beside it. If nothing would be left, the low branches stay.
 
 Blocks are the text between block-level tags, white space folded to one space; br counts as white space.
 
 Defined cases: null and empty html give an empty text; text without tags is one block; a null or hostless url joins no
-style tree; repeated rows are pages of their own; an empty table gives an empty result. Other columns are ignored.
+style tree; repeated rows give a row each and count once in the style tree; an empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -86,10 +86,10 @@ def _noise(tag: str, attributes: dict[str, str], inside: bool) -> bool:
 
 
 class Page:
-    """blocks: (paths from the root down, noise, inside an article or main, text); styles: path -> [children, texts]."""
+    """blocks: (paths from the root down, noise, text); styles: path -> [children, texts]."""
 
     def __init__(self, html: str, stats: bool) -> None:
-        self.blocks: list[tuple[tuple[int, ...], bool, bool, str]] = []
+        self.blocks: list[tuple[tuple[int, ...], bool, str]] = []
         self.styles: dict[int, list[list]] = {}
         self._stats = stats
         self._stack: list[tuple[str, int, bool, bool]] = []
@@ -104,7 +104,7 @@ class Page:
         if not text:
             return
         stack = self._stack
-        self.blocks.append((tuple(s[1] for s in stack), bool(stack) and stack[-1][2], bool(stack) and stack[-1][3], text))
+        self.blocks.append((tuple(s[1] for s in stack), bool(stack) and stack[-1][2], text))
         if self._stats:
             for s in stack:
                 self.styles[s[1]][1].append(text)
@@ -175,11 +175,8 @@ class Page:
 
     def text(self, low: frozenset[int]) -> str:
         good = [b for b in self.blocks if not b[1]]
-        inside = [b[3] for b in good if b[2]]
-        if inside:
-            return "\n\n".join(inside)
-        kept = [b[3] for b in good if not low.intersection(b[0])]
-        return "\n\n".join(kept if kept else [b[3] for b in good])
+        kept = [b[2] for b in good if not low.intersection(b[0])]
+        return "\n\n".join(kept if kept else [b[2] for b in good])
 
 
 def host_of(url: str) -> Column:
@@ -188,19 +185,24 @@ def host_of(url: str) -> Column:
 
 def _styles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hosts, paths, looks, contents = [], [], [], []
+        hosts, pages, paths, looks, contents = [], [], [], [], []
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
+            page = _hash(html)
             for path, (children, texts) in Page(html, True).styles.items():
+                if not texts:  # nothing to remove, and no sign of what the path's texts are
+                    continue
                 hosts.append(host)
+                pages.append(page)
                 paths.append(path)
                 looks.append(_hash("|".join(children)))
                 contents.append(_hash("\n".join(texts)))
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(paths, pa.int64()), pa.array(looks, pa.int64()), pa.array(contents, pa.int64())], names=["host", "path", "look", "content"])
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *(pa.array(x, pa.int64()) for x in (pages, paths, looks, contents))], names=["host", "page", "path", "look", "content"])
 
 
 def low_branches(rows: DataFrame, gamma: float = GAMMA, pages: int = PAGES, least: float = LEAST) -> DataFrame:
     """(host, path) of the element nodes of each host's style tree whose importance is low."""
-    styles = written(rows.filter("host <> ''").select("host", "html").mapInArrow(_styles, "host string, path long, look long, content long"), "styles")
+    parsed = rows.filter("host <> ''").select("host", "html").mapInArrow(_styles, "host string, page long, path long, look long, content long")
+    styles = written(parsed.dropDuplicates(["host", "page", "path"]), "styles")
     sizes = styles.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= pages)
 
     def entropy(column: str) -> DataFrame:

@@ -223,6 +223,22 @@ def test_style_tree_removes_what_all_pages_share(spark):
     assert got[3] == "Text 3 of its own\n\nmore more more"
 
 
+def test_style_tree_reaches_into_articles_and_spares_what_is_beside(spark):
+    more = "<div class=strip>Read on at our site</div>"
+    shared = [(i, f"https://a.example/{i}", f"<body><article><h1>Head {i}</h1><p>Text {i} is <b>bold {i}</b></p>{more}</article></body>") for i in range(8)]
+    cards = [(20 + i, f"https://b.example/{i}", f"<body><div class=story><p>Story {i} itself</p></div><article class=card>Teaser</article></body>") for i in range(8)]
+    few = [(40, "https://c.example/0", "<body><div class=story>Story</div><article>Teaser</article></body>")]
+    copies = [(50 + i, "https://d.example/0", "<body><article>Same</article></body>") for i in range(7)] + [(60, "https://d.example/1", "<body><article>Other</article><p>Beside</p></body>")]
+    # closed inline elements are without a block of their own: they say nothing of the texts of unclosed ones
+    unclosed = [(70 + i, f"https://e.example/{i}", f"<body><article><p>Text {i} <b>x</b></p></article></body>") for i in range(30)] + [(100, "https://e.example/u", "<body><article><p><b>Open text<p>Last text</article></body>")]
+    got = {r["page_id"]: r["text"] for r in pages.extract(spark.createDataFrame(shared + cards + few + copies + unclosed, "page_id long, url string, html string")).collect()}
+    assert got[3] == "Head 3\n\nText 3 is bold 3"
+    assert got[23] == "Story 3 itself"
+    assert got[40] == "Story\n\nTeaser"
+    assert got[50] == "Same" and got[60] == "Other\n\nBeside"
+    assert got[100] == "Open text\n\nLast text"
+
+
 def test_pages_against_plain_cut(spark, sf):
     import html as h
 
