@@ -7,8 +7,8 @@ by the SHA-256 of the normalised text, which decides. Filters have at most MAX_W
 MAX_WORDS * DOCS_PER_WORD rows the hash space is cut into slices, each with a filter of its own, so what is
 broadcast at once has a fixed bound at any input size.
 
-Defined cases: null text equals empty text; all empty texts are one group. Rows that repeat with one doc_id share a
-verdict, and `deduplicate` returns one of them. A null doc_id stays only if its whole group has none. An empty table
+Defined cases: null text equals empty text; all empty texts are one group. Rows that repeat with one doc_id and one
+text share a verdict, and `deduplicate` returns one of them; it keeps every unique text, whatever its doc_id. A null doc_id stays only if its whole group has none. An empty table
 gives an empty result. Other columns of the input are never read by name and pass through `deduplicate`.
 """
 
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm._shared import WHITE, read, ship, text_of, work_folder, written
@@ -125,13 +125,16 @@ def _size(rows: int, max_words: int) -> tuple[int, int]:
     return words, -(-need // words)
 
 
+def _slice(slices: int) -> Column:
+    return F.pmod(F.shiftrightunsigned("_hash", 24).bitwiseAND(F.lit(0xFFFF)), F.lit(slices)).cast("int")
+
+
 def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_words: int = MAX_WORDS) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
     hashed = written(with_hashes(docs, id_col, text_col), "hashes")
     words, slices = _size(hashed.count(), max_words)
     if slices > 1:
-        cut = F.pmod(F.shiftrightunsigned("_hash", 24).bitwiseAND(F.lit(0xFFFF)), F.lit(slices)).cast("int")
-        hashed = written(hashed.withColumn("_slice", cut), "slices", partition_by="_slice")
+        hashed = written(hashed.withColumn("_slice", _slice(slices)), "slices", partition_by="_slice")
     marked = None
     for at in range(slices):
         rows = hashed.filter(F.col("_slice") == at).drop("_slice") if slices > 1 else hashed
@@ -148,21 +151,22 @@ def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_words: int = MAX_WORDS) -> DataFrame:
     """The rows that stay, with all their columns.
 
-    While one filter is enough, a row that is certainly alone is passed on in the task that read it; only possible
-    repeats are shuffled. Beyond that the verdicts are found slice by slice, and the dropped rows' ids are joined.
+    A row that is certainly alone is passed on in the task that read it; only possible repeats are shuffled, with the
+    whole row. With several filters the rows are first written by slice and probed in the filter of their slice.
     """
     columns = docs.columns
     hashed = with_hashes(docs, id_col, text_col)
     narrow = written(hashed.select("_hash"), "hashes")
     words, slices = _size(narrow.count(), max_words)
-    if slices > 1:
-        seen = verdicts(docs, id_col, text_col, max_words)
-        kept = seen.filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-        stay = docs.join(kept, docs[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
-        return stay.dropDuplicates([id_col])
     text = F.regexp_replace(text_of(text_col), WHITE, " ")
     rows = docs.select(F.struct(*[docs[c] for c in columns]).alias("_row"), docs[id_col].alias("_id"), F.xxhash64(text).alias("_hash"), F.sha2(text, 256).alias("_sha"))
-    marked = _mark(rows, repeat_filter(narrow, words), words)
+    if slices > 1:
+        rows = written(rows.withColumn("_slice", _slice(slices)), "slices", partition_by="_slice")
+    marked = None
+    for at in range(slices):
+        mine = rows.filter(F.col("_slice") == at).drop("_slice") if slices > 1 else rows
+        part = _mark(mine, repeat_filter(mine.select("_hash") if slices > 1 else narrow, words), words)
+        marked = part if marked is None else marked.unionByName(part)
     alone = marked.filter(~F.col("_maybe")).select("_row.*")
     maybe = marked.filter("_maybe")
     first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row")))

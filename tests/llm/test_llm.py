@@ -46,6 +46,16 @@ def test_exact_dedup(odd, none):
     assert exact_dedup.verdicts(none).count() == exact_dedup.deduplicate(none).count() == 0
 
 
+def test_slices_keep_the_rows_that_one_filter_keeps(spark):
+    texts = [f"text {i} of many" for i in range(12_000)]  # three slices at the least number of words
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, t) for i, t in enumerate(texts)] + [(20_000 + i, t) for i, t in enumerate(texts[:50])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = exact_dedup.deduplicate(docs, max_words=1024).collect()
+    assert exact_dedup._size(len(rows), 1024)[1] > 1
+    assert sorted(r["text"] for r in kept) == sorted(texts)
+    assert sorted(map(repr, kept)) == sorted(map(repr, exact_dedup.deduplicate(docs).collect()))
+
+
 def test_near_dedup(odd, none):
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in near_dedup.near_duplicates(odd).collect()}
     assert got == {1: (2, 1, True), 2: (2, 1, False), 3: (0, 3, True), 4: (0, 4, True), 5: (1, 5, True), 6: (1, 5, False), 7: (1, 7, True), 8: (0, 8, True), None: (1, None, True), 9: (8, 9, True)}
