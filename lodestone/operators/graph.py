@@ -15,7 +15,7 @@ def undirected(edges: DataFrame, a: str = "src", b: str = "dst") -> DataFrame:
 
 
 def closure(edges: DataFrame, max_hops: int) -> DataFrame:
-    """(src, dst, hops): the fewest hops from src to every node it reaches within max_hops."""
+    """(src, dst, hops): the fewest hops from src to every node it reaches within max_hops."""
     seen = checkpointed(edges.select("src", "dst").distinct().filter("src <> dst").withColumn("hops", F.lit(1)))
     front = seen
     for hop in range(2, max_hops + 1):
@@ -55,7 +55,7 @@ def cheapest(edges: DataFrame, max_hops: int, budget: float | None = None) -> Da
 
 
 def without_detours(edges: DataFrame, factor: float = 1.1) -> DataFrame:
-    """Edges for which no two-hop way is shorter than factor times the direct cost (one pass; call again to the fixpoint)."""
+    """A part of G8: edges for which no two-hop way is shorter than factor times the direct cost, in one pass."""
     e = edges.select("src", "dst", "cost")
     two = e.select("src", F.col("dst").alias("mid"), F.col("cost").alias("_c")).join(e.select(F.col("src").alias("mid"), "dst", F.col("cost").alias("_d")), "mid")
     short = two.groupBy("src", "dst").agg(F.min(F.col("_c") + F.col("_d")).alias("_two"))

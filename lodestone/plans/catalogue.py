@@ -440,7 +440,7 @@ WITH r(event_type, act, rel) AS (VALUES ('click', 'attack', 10.0::DOUBLE), ('cli
 c AS (SELECT user_id, act, max(rel * CASE WHEN value < 1 THEN 0 ELSE 1 + value / 1000 END) AS rel, min(event_id) AS first FROM events JOIN r USING (event_type) WHERE value >= 1 GROUP BY ALL)
 SELECT user_id, act FROM c QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY round(rel, 6) DESC, first, act) = 1""")
 def rule_argmax(s: SparkSession, d: str) -> DataFrame:
-    """Rules fire, relevances are multiplied and dropped at 0, actions keep their largest, the best wins."""
+    """Rules fire, relevances are multiplied and dropped at 0, actions keep their largest, the best wins."""
     rules = s.createDataFrame(RULES, "event_type string, act string, rel double")
     fired = table(s, d, "events").join(F.broadcast(rules), "event_type")
     fired = fired.withColumn("r", scoring.product([F.col("rel"), F.when(F.col("value") < 1, 0.0).otherwise(1 + F.col("value") / 1000)])).filter("r IS NOT NULL")
@@ -459,7 +459,7 @@ def quota_phases(s: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT c_custkey % 500 AS bucket, count(*) AS n, CAST(min(c_custkey) AS BIGINT) AS head FROM customer GROUP BY 1")
 def hash_sample(s: SparkSession, d: str) -> DataFrame:
-    """Deterministic buckets of keys."""
+    """Deterministic buckets of keys."""
     return table(s, d, "customer").groupBy(F.pmod("c_custkey", F.lit(500)).alias("bucket")).agg(count().alias("n"), F.min("c_custkey").alias("head"))
 
 
@@ -551,7 +551,7 @@ def edges(s: SparkSession, d: str) -> DataFrame:
 WITH RECURSIVE {EDGES_SQL}, r AS (SELECT src, dst, 1 AS hops FROM e UNION SELECT r.src, e.dst, r.hops + 1 FROM r JOIN e ON e.src = r.dst WHERE r.hops < 6)
 SELECT src, dst, CAST(min(hops) AS INTEGER) AS hops FROM r WHERE src <> dst GROUP BY ALL""")
 def graph_closure(s: SparkSession, d: str) -> DataFrame:
-    """What each node reaches in six hops, and the fewest."""
+    """What each node reaches in six hops, and the fewest."""
     return graph.closure(edges(s, d), 6)
 
 
@@ -567,7 +567,7 @@ def graph_bfs_paths(s: SparkSession, d: str) -> DataFrame:
 WITH {EDGES_SQL}, t AS (SELECT a.src, b.dst, min(a.cost + b.cost) AS two FROM e a JOIN e b ON a.dst = b.src GROUP BY ALL)
 SELECT e.src, e.dst FROM e LEFT JOIN t ON t.src = e.src AND t.dst = e.dst WHERE two IS NULL OR two >= 1.1 * cost""")
 def graph_detour_prune(s: SparkSession, d: str) -> DataFrame:
-    """G8."""
+    """One pass over two-hop detours, a part of G8."""
     return graph.without_detours(edges(s, d)).select("src", "dst")
 
 
@@ -575,7 +575,7 @@ def graph_detour_prune(s: SparkSession, d: str) -> DataFrame:
 WITH RECURSIVE {EDGES_SQL}, r AS (SELECT src, dst, cost, 1 AS hops FROM e UNION ALL SELECT r.src, e.dst, r.cost + e.cost, r.hops + 1 FROM r JOIN e ON e.src = r.dst WHERE r.hops < 4)
 SELECT src, dst, round(min(cost), 2) AS cost FROM r WHERE src <> dst GROUP BY ALL""")
 def graph_cheapest(s: SparkSession, d: str) -> DataFrame:
-    """The least cost with at most four edges."""
+    """The least cost with at most four edges."""
     return graph.cheapest(edges(s, d), 4).select("src", "dst", F.round("cost", 2).alias("cost"))
 
 
@@ -607,7 +607,7 @@ def pid_control(s: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT user_id, CAST(sum(CASE WHEN value <= 50 THEN 100 WHEN value >= 200 THEN 0 ELSE floor(100 - (value - 50) * 100 / 150) END) AS BIGINT) AS kept, count(*) FILTER (WHERE user_id % 201 < 100) AS active FROM events GROUP BY 1")
 def queue_shed(s: SparkSession, d: str) -> DataFrame:
-    """A linear shed factor between a floor and a ceiling."""
+    """A linear shed factor between a floor and a ceiling."""
     v = F.col("value")
     share = F.when(v <= 50, 100).when(v >= 200, 0).otherwise(F.floor(100 - (v - 50) * 100 / 150))
     return table(s, d, "events").groupBy("user_id").agg(F.sum(share).cast("long").alias("kept"), F.count_if(F.col("user_id") % 201 < 100).alias("active"))
@@ -621,7 +621,7 @@ def report_tumbling(s: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT time_bucket(INTERVAL 1 day, ts) AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL")
 def stream_window_replay(s: SparkSession, d: str) -> DataFrame:
-    """The same counts by a stream with a watermark, replayed to its end."""
+    """The same counts by a stream with a watermark, replayed to its end."""
     rows = replay.replayed(replay.windowed(replay.event_stream(s, d), "1 day", "36500 days"), "complete")
     return rows.select(F.col("window.start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 2).alias("total"))
 
