@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.session import checkpointed
+
 XYZ = ("x", "y", "z")
+BROADCAST_ROWS = 100_000
 
 
 def squared(a: str, b: str, axes: Sequence[str] = XYZ) -> Column:
@@ -67,3 +71,60 @@ def steps(points: DataFrame, path: str, at: str, value: str) -> DataFrame:
     order = Window.partitionBy(path).orderBy(at)
     step = F.coalesce(F.abs(F.col(value) - F.lag(value).over(order)), F.lit(0.0))
     return points.withColumn("step", step).withColumn("run", F.sum("step").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def hulls(points: DataFrame) -> DataFrame:
+    """g, x, y: the corners of the convex hull of each group, first of each task's points, then of those corners."""
+
+    def corners(xy: set[tuple[float, float]]) -> set[tuple[float, float]]:
+        out: set[tuple[float, float]] = set()
+        for some in (sorted(xy), sorted(xy, reverse=True)):
+            chain: list[tuple[float, float]] = []
+            for p in some:
+                while len(chain) > 1 and (chain[-1][0] - chain[-2][0]) * (p[1] - chain[-2][1]) <= (chain[-1][1] - chain[-2][1]) * (p[0] - chain[-2][0]):
+                    chain.pop()
+                chain.append(p)
+            out.update(chain)
+        return out
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[object, set[tuple[float, float]]] = {}
+        for batch in batches:
+            fresh: dict[object, set[tuple[float, float]]] = {}
+            for g, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                fresh.setdefault(g, set()).add((x, y))
+            for g, xy in fresh.items():
+                kept[g] = corners(xy | kept.get(g, set()))
+        rows = [(g, x, y) for g, xy in kept.items() for x, y in xy]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), batch.schema, strict=True)], names=batch.schema.names)
+
+    rows = points.select("g", "x", "y")
+    return rows.mapInArrow(part, rows.schema).repartition("g").mapInArrow(part, rows.schema)
+
+
+def farthest_flight(points: DataFrame, group: str, step: float = 0.1, safe: float = 0.02) -> DataFrame:
+    """(group, away): the largest sum of distances to all points of the group from a free place of any point's polar grid.
+
+    A place is free if no point of the group is within `safe`. Points in a place's own cell decide most places, the
+    neighbouring cells the others. The sum of distances is convex, so its maximum over the free places is at a corner of
+    their convex hull: only corners are held against all points.
+    """
+    p = points.filter(F.col(group).isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull()).groupBy(F.col(group).alias("g"), "x", "y").agg(F.count(F.lit(1)).alias("n"))
+    p = checkpointed(p)
+    turn = F.col("a") * F.pi() / 4
+    places = p.withColumn("a", F.explode(F.sequence(F.lit(0), F.lit(7)))).withColumn("r", F.explode(F.sequence(F.lit(1), F.lit(2))))
+    places = places.select("g", (F.col("x") + step * F.col("r") * F.cos(turn)).alias("x"), (F.col("y") + step * F.col("r") * F.sin(turn)).alias("y"))
+    own = [cell(c, safe * 0.7).alias(f"o{c}") for c in "xy"]
+    places = places.select("*", *own, *[cell(c, safe).alias(f"c{c}") for c in "xy"]).join(p.select("g", *own).distinct(), ["g", "ox", "oy"], "left_anti")
+    around = p.select("g", F.col("x").alias("ex"), F.col("y").alias("ey"), *[cell(c, safe).alias(f"c{c}") for c in "xy"])
+    for c in "xy":
+        around = around.withColumn(f"c{c}", F.explode(F.array(*[F.col(f"c{c}") + i for i in (-1, 0, 1)])))
+    a, b = places.alias("a"), around.alias("b")
+    far = lambda x, y: F.sqrt(F.pow(F.col("a.x") - F.col(x), 2) + F.pow(F.col("a.y") - F.col(y), 2))
+    same = (F.col("a.g") == F.col("b.g")) & (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy"))
+    free = a.join(b, same & (far("b.ex", "b.ey") <= safe), "left_anti")
+    ends = checkpointed(hulls(free))
+    ends = F.broadcast(ends) if ends.count() <= BROADCAST_ROWS else ends
+    pairs = p.alias("b").join(ends.alias("a"), F.col("a.g") == F.col("b.g")).select(F.col("a.g").alias(group), F.col("a.x").alias("x"), F.col("a.y").alias("y"), (F.col("b.n") * far("b.x", "b.y")).alias("d"))
+    return pairs.groupBy(group, "x", "y").agg(F.sum("d").alias("away")).groupBy(group).agg(F.max("away").alias("away"))

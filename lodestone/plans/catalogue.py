@@ -394,7 +394,7 @@ WITH p AS ({POSITIONS}), f AS (SELECT map_id, x + 0.1 * r * cos(a * pi() / 4) AS
 e AS (SELECT map_id, x AS ex, y AS ey FROM p WHERE id % 7 = 0), g AS (SELECT f.map_id, a, r, fx, fy, min(sqrt(pow(fx - ex, 2) + pow(fy - ey, 2))) AS gap, sum(sqrt(pow(fx - ex, 2) + pow(fy - ey, 2))) AS away FROM f JOIN e USING (map_id) GROUP BY ALL)
 SELECT map_id, round(max(away), 4) AS away FROM g WHERE gap > 0.02 GROUP BY 1""")
 def flee_grid(s: SparkSession, d: str) -> DataFrame:
-    """Of a polar grid of points those not too near to any enemy; the largest sum of distances."""
+    """R11 on a part of the points (origins id % 50 = 0, enemies id % 7 = 0, as its SQL has it); flee_grid_whole takes all."""
     p = positions(s, d)
     cells = p.filter("id % 50 = 0").withColumn("a", F.explode(F.sequence(F.lit(0), F.lit(7)))).withColumn("r", F.explode(F.sequence(F.lit(1), F.lit(2))))
     grid = cells.select("map_id", "a", "r", (F.col("x") + 0.1 * F.col("r") * F.cos(F.col("a") * F.pi() / 4)).alias("fx"), (F.col("y") + 0.1 * F.col("r") * F.sin(F.col("a") * F.pi() / 4)).alias("fy"))
@@ -403,6 +403,12 @@ def flee_grid(s: SparkSession, d: str) -> DataFrame:
     return sums.filter("gap > 0.02").groupBy("map_id").agg(F.round(F.max("away"), 4).alias("away"))
 
 
+@query(None)
+def flee_grid_whole(s: SparkSession, d: str) -> DataFrame:
+    """Of the polar grids of all points the places not too near to any point; the largest sum of distances to all of them (tested against brute force)."""
+    return spatial.farthest_flight(positions(s, d), "map_id").select("map_id", F.round("away", 4).alias("away"))
+
+
 # scores and rules
 
 

@@ -1,10 +1,12 @@
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
 
 from lodestone.functions import text as X
-from lodestone.operators import graph, relational, scoring
+from lodestone.operators import graph, relational, scoring, spatial
+from lodestone.plans import catalogue
 from lodestone.sources import tables
 from lodestone.streaming import replay
 
@@ -85,3 +87,28 @@ def test_sources(spark, tmp_path):
     (tmp_path / "conf").write_text("# note\na.b = 12\nc = x\n")
     assert values(tables.settings(spark, str(tmp_path / "conf"))) == [("a.b", "12", 12), ("c", "x", 0)]
     assert tables.parameterised(spark, "SELECT :x + 1 AS y", x=1).first()[0] == 2
+
+
+def test_flee_grid_over_all_points(spark, sf):
+    def brute(rows):
+        best = {}
+        for g in {r[0] for r in rows}:
+            at = [(x, y) for h, x, y in rows if h == g]
+            for x, y in set(at):
+                for a in range(8):
+                    for r in (1, 2):
+                        fx, fy = x + 0.1 * r * math.cos(a * math.pi / 4), y + 0.1 * r * math.sin(a * math.pi / 4)
+                        gaps = [math.sqrt((fx - u) ** 2 + (fy - v) ** 2) for u, v in at]
+                        if min(gaps) > 0.02:
+                            best[g] = max(best.get(g, 0.0), sum(gaps))
+        return best
+
+    rows = [(r["map_id"], r["x"], r["y"]) for r in catalogue.positions(spark, sf).collect()]
+    got = {r["map_id"]: r["away"] for r in catalogue.flee_grid_whole(spark, sf).collect()}
+    want = brute(rows)
+    assert got.keys() == want.keys() and all(abs(got[g] - want[g]) < 2e-4 for g in got)
+    # points on a lattice of the step: the grids' outer places are taken or free, equal points count each
+    rows = [(1, i * 0.05, j * 0.05) for i in range(9) for j in range(9)] + [(1, 0.0, 0.0)] * 5 + [(2, 0.0, 0.0)]
+    got = {r["g"]: r["away"] for r in spatial.farthest_flight(spark.createDataFrame(rows, "g int, x double, y double"), "g").collect()}
+    want = brute(rows)
+    assert got.keys() == want.keys() and all(abs(got[g] - want[g]) < 1e-6 for g in got)
