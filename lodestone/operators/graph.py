@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,11 +17,16 @@ def undirected(edges: DataFrame, a: str = "src", b: str = "dst") -> DataFrame:
     return both.filter("src <> dst").distinct()
 
 
-def closure(edges: DataFrame, max_hops: int) -> DataFrame:
-    """(src, dst, hops): the fewest hops from src to every node it reaches within max_hops."""
+def _rounds(max_hops: int | None) -> Iterable[int]:
+    """2, 3, ..., max_hops; without end if None."""
+    return count(2) if max_hops is None else range(2, max_hops + 1)
+
+
+def closure(edges: DataFrame, max_hops: int | None = None) -> DataFrame:
+    """(src, dst, hops): the fewest hops from src to every node it reaches, if given within max_hops."""
     seen = checkpointed(edges.select("src", "dst").distinct().filter("src <> dst").withColumn("hops", F.lit(1)))
     front = seen
-    for hop in range(2, max_hops + 1):
+    for hop in _rounds(max_hops):
         step = front.select("src", F.col("dst").alias("mid")).join(edges.select(F.col("src").alias("mid"), "dst"), "mid").select("src", "dst").filter("src <> dst").distinct()
         front = checkpointed(step.join(seen, ["src", "dst"], "left_anti").withColumn("hops", F.lit(hop)))
         if front.isEmpty():
@@ -27,11 +35,11 @@ def closure(edges: DataFrame, max_hops: int) -> DataFrame:
     return seen
 
 
-def shortest_paths(edges: DataFrame, max_hops: int) -> DataFrame:
+def shortest_paths(edges: DataFrame, max_hops: int | None = None) -> DataFrame:
     """As closure, with the path as an array of nodes (the smallest of the shortest, as arrays compare)."""
     seen = checkpointed(edges.select("src", "dst", F.array("src", "dst").alias("path")).filter("src <> dst").distinct())
     front = seen
-    for _ in range(2, max_hops + 1):
+    for _ in _rounds(max_hops):
         moved = front.withColumnRenamed("dst", "mid").join(edges.select(F.col("src").alias("mid"), "dst"), "mid").filter("src <> dst")
         step = moved.groupBy("src", "dst").agg(F.min(F.concat("path", F.array("dst"))).alias("path"))
         front = checkpointed(step.join(seen, ["src", "dst"], "left_anti"))
@@ -41,16 +49,18 @@ def shortest_paths(edges: DataFrame, max_hops: int) -> DataFrame:
     return seen
 
 
-def cheapest(edges: DataFrame, max_hops: int, budget: float | None = None) -> DataFrame:
-    """(src, dst, cost): the least cost with at most max_hops edges, within a budget; edges of negative cost are forbidden."""
+def cheapest(edges: DataFrame, max_hops: int | None = None, budget: float | None = None) -> DataFrame:
+    """(src, dst, cost): the least cost, if given with at most max_hops edges and within a budget; edges of negative cost are forbidden."""
     usable = edges.filter("cost >= 0").groupBy("src", "dst").agg(F.min("cost").alias("cost"))
     best = checkpointed(usable)
-    for _ in range(2, max_hops + 1):
+    for _ in _rounds(max_hops):
         longer = best.select("src", F.col("dst").alias("mid"), F.col("cost").alias("_c")).join(usable.select(F.col("src").alias("mid"), "dst", "cost"), "mid")
         longer = longer.filter("src <> dst").select("src", "dst", (F.col("_c") + F.col("cost")).alias("cost"))
         if budget is not None:
             longer = longer.filter(F.col("cost") <= budget)
-        best = checkpointed(best.unionByName(longer).groupBy("src", "dst").agg(F.min("cost").alias("cost")))
+        before, best = best, checkpointed(best.unionByName(longer).groupBy("src", "dst").agg(F.min("cost").alias("cost")))
+        if best.join(before, ["src", "dst", "cost"], "left_anti").isEmpty():
+            break
     return best
 
 

@@ -1,7 +1,7 @@
 """The named queries over the driver's tables, each with the SQL that gives the same rows.
 
 Positions are the first three dimensions of an embedding with its label as map; the graph is the flow of volume from
-supplier nations to customer nations, the two largest flows of each source.
+supplier nations to customer nations, the two largest flows of each source; queries named _whole take all flows.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import text as X
 from lodestone.operators import graph, ranges, relational, scoring, spatial
+from lodestone.session import checkpointed
 from lodestone.sources.tables import load_values, save_values, table
 from lodestone.streaming import replay
 
@@ -546,11 +547,23 @@ EDGES_SQL = """e AS (
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN supplier ON s_suppkey = l_suppkey WHERE s_nationkey <> c_nationkey GROUP BY s_nationkey, c_nationkey) WHERE n <= 2)"""
 
 
-def edges(s: SparkSession, d: str) -> DataFrame:
+def flows(s: SparkSession, d: str) -> DataFrame:
     flow = table(s, d, "lineitem").join(table(s, d, "orders"), F.col("o_orderkey") == F.col("l_orderkey")).join(table(s, d, "customer"), F.col("c_custkey") == F.col("o_custkey")).join(table(s, d, "supplier"), F.col("s_suppkey") == F.col("l_suppkey"))
-    sums = flow.filter("s_nationkey <> c_nationkey").groupBy(F.col("s_nationkey").alias("src"), F.col("c_nationkey").alias("dst")).agg(F.sum("l_quantity").alias("q"))
+    return flow.filter("s_nationkey <> c_nationkey").groupBy(F.col("s_nationkey").alias("src"), F.col("c_nationkey").alias("dst")).agg(F.sum("l_quantity").alias("q"))
+
+
+def costed(sums: DataFrame) -> DataFrame:
+    return sums.select("src", "dst", F.round(F.lit(1000000) / (1 + F.col("q")), 4).alias("cost"))
+
+
+def all_edges(s: SparkSession, d: str) -> DataFrame:
+    return checkpointed(costed(flows(s, d)))
+
+
+def edges(s: SparkSession, d: str) -> DataFrame:
+    sums = flows(s, d)
     top = sums.withColumn("n", F.row_number().over(Window.partitionBy("src").orderBy(F.desc("q"), "dst"))).filter("n <= 2")
-    return top.select("src", "dst", F.round(F.lit(1000000) / (1 + F.col("q")), 4).alias("cost"))
+    return costed(top)
 
 
 @query(f"""
@@ -593,6 +606,43 @@ def transfer_min(s: SparkSession, d: str) -> DataFrame:
     return graph.transfers_closed(edges(s, d)).select("src", "dst", F.round(F.least(F.lit(200000.0), "cost"), 2).alias("cost"))
 
 
+ALL_EDGES_SQL = EDGES_SQL.replace(" WHERE n <= 2", "")
+
+
+@query(None)
+def graph_closure_whole(s: SparkSession, d: str) -> DataFrame:
+    """What each node reaches over all flows, in any number of hops, and the fewest."""
+    return graph.closure(all_edges(s, d))
+
+
+@query(None)
+def graph_bfs_paths_whole(s: SparkSession, d: str) -> DataFrame:
+    """A shortest path between all pairs, of any length, over all flows, undirected."""
+    return graph.shortest_paths(graph.undirected(all_edges(s, d))).select("src", "dst", F.array_join(F.col("path").cast("array<string>"), ">").alias("path"))
+
+
+@query(f"""
+WITH {ALL_EDGES_SQL}, t AS (SELECT a.src, b.dst, min(a.cost + b.cost) AS two FROM e a JOIN e b ON a.dst = b.src GROUP BY ALL)
+SELECT e.src, e.dst FROM e LEFT JOIN t ON t.src = e.src AND t.dst = e.dst WHERE two IS NULL OR two >= 1.1 * cost""")
+def graph_detour_prune_whole(s: SparkSession, d: str) -> DataFrame:
+    """One pass over two-hop detours, a part of G8, over all flows."""
+    return graph.without_detours(all_edges(s, d)).select("src", "dst")
+
+
+@query(None)
+def graph_cheapest_whole(s: SparkSession, d: str) -> DataFrame:
+    """The least cost over all flows with any number of edges."""
+    return graph.cheapest(all_edges(s, d)).select("src", "dst", F.round("cost", 2).alias("cost"))
+
+
+@query(f"""
+WITH {ALL_EDGES_SQL}, t AS (SELECT src, dst, cost FROM e UNION ALL SELECT a.src, b.dst, a.cost + b.cost FROM e a JOIN e b ON a.dst = b.src WHERE a.src <> b.dst)
+SELECT src, dst, round(least(200000, min(cost)), 2) AS cost FROM t GROUP BY ALL""")
+def transfer_min_whole(s: SparkSession, d: str) -> DataFrame:
+    """Over all flows."""
+    return graph.transfers_closed(all_edges(s, d)).select("src", "dst", F.round(F.least(F.lit(200000.0), "cost"), 2).alias("cost"))
+
+
 # state and streams
 
 

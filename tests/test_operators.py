@@ -112,3 +112,21 @@ def test_flee_grid_over_all_points(spark, sf):
     got = {r["g"]: r["away"] for r in spatial.farthest_flight(spark.createDataFrame(rows, "g int, x double, y double"), "g").collect()}
     want = brute(rows)
     assert got.keys() == want.keys() and all(abs(got[g] - want[g]) < 1e-6 for g in got)
+
+
+def test_graph_searches_end_with_their_frontier(spark, sf):
+    chain = spark.createDataFrame([(i, i + 1, 1.0) for i in range(9)] + [(0, 9, 100.0), (9, 0, 1.0)], "src int, dst int, cost double")
+    hops = {(a, b): n for a, b, n in values(graph.closure(chain))}
+    assert len(hops) == 90 and hops[0, 8] == 8 and hops[8, 7] == 9
+    paths = {(a, b): p for a, b, p in values(graph.shortest_paths(graph.undirected(chain)))}
+    assert len(paths) == 90 and paths[0, 5] == [0, 1, 2, 3, 4, 5]
+    assert {(a, b): c for a, b, c in values(graph.cheapest(chain))}[0, 9] == 9.0
+    cost = {(r["src"], r["dst"]): r["cost"] for r in catalogue.all_edges(spark, sf).collect()}
+    nodes = {a for e in cost for a in e}
+    for k in nodes:
+        for a in nodes:
+            for b in nodes:
+                if a != b and (a, k) in cost and (k, b) in cost:
+                    cost[a, b] = min(cost.get((a, b), math.inf), cost[a, k] + cost[k, b])
+    got = {(r["src"], r["dst"]): r["cost"] for r in catalogue.graph_cheapest_whole(spark, sf).collect()}
+    assert got.keys() == cost.keys() and all(abs(got[e] - cost[e]) < 0.0051 for e in got)
