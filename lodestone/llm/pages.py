@@ -7,7 +7,8 @@ the logarithm of their number, so 0 means always the same and 1 always different
 (1 - GAMMA) * presentation. A path with text on at least PAGES different pages of its host with an importance below
 LEAST is a low branch and is removed, inside an article or main element too, as are the tags, classes, ids and roles
 that name menus, headers, footers, sidebars, notices, adverts, forms and comments (a host with few pages has no
-statistics). No element drops the text beside it. If nothing would be left, the low branches stay.
+statistics). Class names and ids count as wholes; those, the tags and roles that can stand for a part of the text too
+(related, legal, notice, dialog ...) count outside an article or main element only, inside the style tree decides. No element drops the text beside it. If nothing would be left, the low branches stay.
 
 Blocks are the text between block-level tags, white space folded to one space; br counts as white space.
 
@@ -43,19 +44,31 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
-NOISE_TAGS = frozenset("nav footer aside form script style noscript iframe svg button select template head dialog menu title textarea object noembed noframes search math canvas audio video map xmp label input".split())
+NOISE_TAGS = frozenset("nav footer aside form script style noscript iframe svg button select template head title textarea noembed noframes canvas audio video map xmp input".split())
+#: Noise outside an article or main element only; inside, the style tree decides.
+OUTER_TAGS = frozenset("header menu search dialog object label".split())
+#: Whole class names and ids, without hyphens and underscores.
 NOISE_NAMES = frozenset(
-    """ad ads adv advert adverts advertisement advertising adsense banner banners breadcrumb breadcrumbs comment comments commentlist consent cookie
-    cookies copyright disqus footer gdpr legal login menu menus modal nav navbar navigation newsletter notice notices pager pagination popup promo promos promoted
-    related recommended search share sharing sidebar sidebars signup skip social sponsor sponsored sponsors subscribe subscription tags teaser toolbar widget widgets
-    disclaimer alert masthead""".split()
+    """ad ads adv advert adverts advertisement advertisements advertising adsense adbanner adbox adcontainer adslot adunit adwrapper banner banners bannerad
+    breadcrumb breadcrumbs breadcrumbnav comments commentlist commentform commentsarea commentssection commentsection commentslist consent cookiebanner cookiebar
+    cookieconsent cookienotice cookiepopup disqus disqusthread footer mainfooter pagefooter sitefooter gdpr masthead mainmenu mainnav mainnavigation menubar modal
+    nav navbar navigation navmenu sitenav sitenavigation topmenu topnav newsletter newsletterbox newsletterform newslettersignup pager pagination popup promos
+    promoted sharebar sharebox sharebuttons sharelinks sidebar sidebars leftsidebar rightsidebar signup skiplink socialbar socialbuttons socialicons sociallinks
+    socialshare sponsored subscribe toolbar widget widgets relatedarticles relatedlinks relatedposts relatedstories recommendedarticles recommendedposts""".split()
 )
-NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
+#: Names that can stand for a part of the text as well, so outside an article or main element only.
+OUTER_NAMES = frozenset(
+    """alert comment cookie cookies copyright disclaimer head header legal login menu menus mainheader notice notices pageheader promo recommended related search
+    searchbar searchbox searchform share sharing siteheader skip social sponsor sponsors subscription tags taglist teaser teasers""".split()
+)
+NOISE_ROLES = frozenset("navigation banner contentinfo menubar".split())
+OUTER_ROLES = frozenset("complementary search dialog alert alertdialog menu form".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody"}}
 _FENCE = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}, "tbody": {"table"}, "tfoot": {"table"}}
 _TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z][^\s=/>"']*+)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))|([a-zA-Z][^\s=/>"']*+)""")
-_NAME = re.compile(r"[a-z0-9]+")
+#: Their ids are slugs of their words.
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _KEPT_IN = frozenset({"article", "main"})
 
 
@@ -71,18 +84,20 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _noise(tag: str, attributes: dict[str, str], inside: bool) -> bool:
-    if tag in NOISE_TAGS or (tag == "header" and not inside):
+    if tag in NOISE_TAGS or (not inside and tag in OUTER_TAGS):
         return True
     if not attributes:
         return False
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", attributes.get("style", ""), re.I):
         return True
-    if attributes.get("role", "").lower() in NOISE_ROLES:
+    role = attributes.get("role", "").strip().lower()
+    if role in NOISE_ROLES or (not inside and role in OUTER_ROLES):
         return True
     if tag in ("body", "html", "article", "main"):
         return False
-    names = set(_NAME.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
-    return bool(names & NOISE_NAMES) or (not inside and bool(names & {"header", "head"}))
+    named = attributes.get("class", "") if tag in _HEADINGS else f"{attributes.get('class', '')} {attributes.get('id', '')}"
+    names = {n.replace("-", "").replace("_", "") for n in named.lower().split()}
+    return bool(names & NOISE_NAMES) or (not inside and bool(names & OUTER_NAMES))
 
 
 class Page:

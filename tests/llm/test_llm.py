@@ -249,6 +249,15 @@ def test_style_tree_reaches_into_articles_and_spares_what_is_beside(spark):
     assert got[100] == "Open text\n\nLast text"
 
 
+def test_names_of_noise_are_matched_whole():
+    text = lambda html: pages.Page(html, False).text(frozenset())
+    kept = """<article><h2 id="related-work">Related work</h2><h2 id="comments">On comments</h2><section id="legal-history">History</section><div class="search-results-study">Study</div>
+    <section class="related legal notice" role="alert">Part</section><p>Let <math><mi>x</mi></math> be</p><p><label>Label</label></p><object>Object</object><dialog>Dialog</dialog></article>"""
+    assert text(kept) == "Related work\n\nOn comments\n\nHistory\n\nStudy\n\nPart\n\nLet x be\n\nLabel\n\nObject\n\nDialog"
+    assert text('<body><div id="legal-history">History</div><p>Let <math>x</math> be</p><div class="box legal">no</div><div class="site-footer">no</div><div role=alert>no</div><div id="cookie_banner">no</div></body>') == "History\n\nLet x be"
+    assert text('<main><p>Text</p><div class="wide comments">no</div><div class="share-buttons">no</div><nav>no</nav></main>') == "Text"
+
+
 def test_pages_against_plain_cut(spark, sf):
     import html as h
 
