@@ -6,8 +6,10 @@ tokenizers pipeline: a unigram model for unigram files, merges ranked by score f
 batches on the library's own threads. `encode` can check every text against the sentencepiece library (parity) and
 that decoding gives the text back.
 
-Where no piece holds the marker behind another character, text is cut before each run of markers first: no piece can
-cross such a cut, so results are the same and long texts stay linear.
+Where no piece holds the marker behind another character, no piece can cross the cut before a run of markers. Texts
+are then cut there, the different parts of a batch are encoded and decoded once, and the results are put together by
+index; a run of unknown characters ends at the marker, which is a piece itself. Other models get whole texts. Parity is
+checked on whole texts in both cases, so a wrong cut would show in every row it spoils.
 
 Defined cases: null and empty texts have no tokens and decode to an empty text; repeated rows are encoded alike;
 texts of any length are encoded whole; an empty table gives an empty result. The strings of control pieces in a text
@@ -23,8 +25,11 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +41,11 @@ MODEL_PATH = os.environ.get("LODESTONE_PIECES", "/opt/tokenizers/piece_bpe_32k.m
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-BATCH = 256
+#: Bytes of text that are encoded at a time.
+BATCH_BYTES = 16 << 20
+#: Of them, those held against sentencepiece at a time, and the parts encoded at a time.
+PARITY_BYTES = 1 << 20
+PARTS = 20_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -143,6 +152,8 @@ def build(model: PieceModel):
         steps.append(normalizers.Prepend(MARK if model.escape else " "))
     if model.escape:
         steps.append(normalizers.Replace(" ", MARK))
+        if model.squeeze:  # sentencepiece takes markers at the end, those of the text too, for white space
+            steps.append(normalizers.Replace(Regex(rf"{MARK}+\z"), ""))
     tokenizer.normalizer = normalizers.Sequence(steps)
     if model.escape and not any(re.search(f"[^{MARK}]{MARK}", p) for p in names):
         tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}+[^{MARK}]*"), "isolated")
@@ -168,20 +179,142 @@ def _peer(data: bytes):
     return SentencePieceProcessor(model_proto=data)
 
 
+@lru_cache(maxsize=2)
+def _part_encoder(data: bytes):
+    """A tokenizer for the parts of normalised text, or None if pieces can cross the cuts between them."""
+    from tokenizers import decoders, normalizers
+
+    model = parse(data)
+    crossing = any(kind == USER or (kind == NORMAL and re.search(f"[^{MARK}]{MARK}", p)) for p, _, kind in model.pieces)
+    if crossing or not model.escape or not any(p == MARK and kind == NORMAL for p, _, kind in model.pieces):
+        return None
+    tokenizer = build(model)
+    tokenizer.normalizer = normalizers.Sequence([])
+    tokenizer.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
+    return tokenizer
+
+
+def _normalised(data: bytes, texts: pa.Array) -> pa.Array:
+    """Texts after the model's normaliser, with spaces for markers; empty texts stay empty."""
+    model = parse(data) if data not in _plain else None
+    if model is not None:
+        _plain[data] = (bool(model.charsmap) or model.squeeze, model.dummy_prefix)
+    complicated, prefix = _plain[data]
+    if complicated:
+        normalizer = _loaded(data).normalizer
+        return pa.array([normalizer.normalize_str(t).replace(MARK, " ") if t else "" for t in texts.to_pylist()], pa.string())
+    spaced = pc.replace_substring(texts, MARK, " ")
+    return pc.if_else(pc.equal(pc.binary_length(texts), 0), "", pc.binary_join_element_wise("", spaced, " ")) if prefix else spaced
+
+
+_plain: dict[bytes, tuple[bool, bool]] = {}
+
+
+def _cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The parts of all texts, each from a run of spaces up to the next, and where each text's parts begin (one more than texts)."""
+    texts = pa.concat_arrays([texts])  # offset 0
+    _, offsets, values = texts.buffers()
+    ends = np.frombuffer(offsets, np.int32)[: len(texts) + 1].astype(np.int64)
+    raw = np.frombuffer(values, np.uint8)[: ends[-1]] if values is not None else np.empty(0, np.uint8)
+    space = raw == 32
+    begins = space.copy()
+    begins[1:] &= ~space[:-1]
+    begins[ends[:-1][ends[:-1] < ends[1:]]] = True  # a text begins a part, its first space too
+    at = np.flatnonzero(begins)
+    bounds = np.append(at, len(raw)).astype(np.int32)
+    parts = pa.StringArray.from_buffers(len(at), pa.py_buffer(bounds.tobytes()), pa.py_buffer(raw.tobytes()))
+    return parts, np.searchsorted(at, ends)
+
+
+def _joined(values: pa.Array, rows: np.ndarray) -> pa.Array:
+    """The strings (or bytes) of `values` joined from rows[i] up to rows[i + 1]."""
+    values = pa.concat_arrays([values])
+    _, offsets, raw = values.buffers()
+    ends = np.frombuffer(offsets, np.int32)[: len(values) + 1] if len(values) else np.zeros(1, np.int32)
+    return pa.Array.from_buffers(values.type, len(rows) - 1, [None, pa.py_buffer(ends[rows].astype(np.int32).tobytes()), raw or pa.py_buffer(b"")])
+
+
+@lru_cache(maxsize=2)
+def _piece_texts(data: bytes) -> pa.Array:
+    """What each id stands for when it is decoded, as bytes: byte pieces their byte, others their text with spaces for markers."""
+    model = parse(data)
+    return pa.array([bytes([int(p[1:-1], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in model.pieces], pa.binary())
+
+
+def _numbers(lists: list[list[int]]) -> pa.Array:
+    starts = np.append(0, np.cumsum([len(x) for x in lists]))
+    return pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(np.fromiter(chain.from_iterable(lists), np.int32, int(starts[-1]))))
+
+
+def _by_parts(data: bytes, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """ids and round_trip of texts: each different part goes through the tokenizer once."""
+    tokenizer = _part_encoder(data)
+    parts, rows = _cut(_normalised(data, texts))
+    coded = parts.dictionary_encode()
+    different = pc.replace_substring(coded.dictionary, " ", MARK)
+    lists = []
+    for lo in range(0, len(different), PARTS):
+        lists.append(_numbers([e.ids for e in tokenizer.encode_batch_fast(different.slice(lo, PARTS).to_pylist(), add_special_tokens=False)]))
+    taken = (pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.int32()))).take(coded.indices)
+    ends = np.append(0, np.cumsum(pc.list_value_length(taken).to_numpy(zero_copy_only=False).astype(np.int64)))[rows]
+    flat = taken.flatten()
+    ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)
+    back = _joined(_piece_texts(data).take(flat), ends)
+    prefix = _plain[data][1]
+    wanted = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", pc.binary_join_element_wise("", texts, " ")) if prefix else texts
+    return ids, pc.equal(back, wanted.cast(pa.binary()))
+
+
+def _by_texts(data: bytes, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """ids and round_trip of texts that can't be cut."""
+    tokenizer, whole = _loaded(data), texts.to_pylist()
+    lists = [e.ids for e in tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
+    back = tokenizer.decode_batch(lists, skip_special_tokens=False)
+    return pa.array(lists, pa.list_(pa.int32())), pc.equal(pa.array(back, pa.string()), texts)
+
+
+def _equal_lists(mine: pa.Array, theirs: pa.Array) -> np.ndarray:
+    """Row by row, whether two arrays of lists of whole numbers hold the same."""
+    n, m = (pc.list_value_length(x).to_numpy(zero_copy_only=False) for x in (mine, theirs))
+    same = n == m
+    x, y = (a.filter(pa.array(same)).flatten().to_numpy(zero_copy_only=False) for a in (mine, theirs))
+    owner = np.repeat(np.flatnonzero(same), n[same])
+    same[owner[x != y]] = False
+    return same
+
+
+def _agrees(data: bytes, texts: pa.Array, ids: pa.Array, threads: int) -> pa.Array:
+    """Row by row, whether sentencepiece gives the same ids for the whole text."""
+    same, at = [], 0
+    for some in _slices(texts, PARITY_BYTES):
+        theirs = _numbers(_peer(data).encode(some.to_pylist(), num_threads=threads))
+        same.append(pa.array(_equal_lists(ids.slice(at, len(some)), theirs), pa.bool_()))
+        at += len(some)
+    return pa.concat_arrays(same)
+
+
+def _slices(texts: pa.Array, most: int) -> Iterator[pa.Array]:
+    """The array in runs of at most `most` bytes, or of one text."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = done = 0
+    while at < len(texts):
+        upto = max(at + 1, int(np.searchsorted(sizes, done + most, side="right")))
+        yield texts.slice(at, upto - at)
+        at, done = upto, int(sizes[upto - 1])
+
+
 def _encode(data: bytes, parity: bool, threads: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
-        tokenizer = _loaded(data)
-        for whole in batches:
-            for lo in range(0, whole.num_rows, BATCH):
-                batch = whole.slice(lo, BATCH)
-                texts = batch.column(1).to_pylist()
-                ids = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-                back = tokenizer.decode_batch(ids, skip_special_tokens=False)
-                same = [list(a) == b for a, b in zip(_peer(data).encode(texts, num_threads=threads), ids, strict=True)] if parity else [None] * len(texts)
-                arrays = [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([a == b for a, b in zip(texts, back, strict=True)], pa.bool_()), pa.array(same, pa.bool_())]
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "ids", "round_trip", "parity"])
+        encoded = _by_texts if _part_encoder(data) is None else _by_parts
+        for batch in batches:
+            at = 0
+            for texts in _slices(batch.column(1), BATCH_BYTES):
+                ids, back = encoded(data, texts)
+                same = _agrees(data, texts, ids, threads) if parity else pa.nulls(len(texts), pa.bool_())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), ids, back, same], names=["doc_id", "ids", "round_trip", "parity"])
+                at += len(texts)
 
     return run
 

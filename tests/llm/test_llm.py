@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -197,9 +198,18 @@ def test_pieces(odd, none):
     assert pieces.encode(none).count() == 0
 
 
-def test_unigram_model():
-    import io  # noqa: F401
+def test_parts_give_what_whole_texts_give():
+    data = open(pieces.MODEL_PATH, "rb").read()
+    texts = ["", " ", "   ", "a", " a", "a  b   c ", "\u2581a \u2581\u2581b", "\u00e9\x00\n\ta\u3000d", "\U0001f600 \U0001f600\U0001f600", "word " * 5000, "x" * 3000, "\ufffd \u2581", "a\r\n b\u00a0c"]
+    column = pa.array(texts)
+    for some in (column, column.slice(3, 5), column.slice(0, 0)):
+        fast, slow = pieces._by_parts(data, some), pieces._by_texts(data, some)
+        assert fast[0].to_pylist() == slow[0].to_pylist() and fast[1].to_pylist() == slow[1].to_pylist()
+    wrong = pa.array([[1, 2], [], [3]], pa.list_(pa.int32()))
+    assert pieces._equal_lists(wrong, pa.array([[1, 3], [], [3, 3]], pa.list_(pa.int32()))).tolist() == [False, True, False]
+
 
+def test_unigram_model():
     from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
 
     proto = sentencepiece_model_pb2.ModelProto()
@@ -211,8 +221,10 @@ def test_unigram_model():
     proto.normalizer_spec.name, proto.normalizer_spec.add_dummy_prefix, proto.normalizer_spec.remove_extra_whitespaces = "identity", True, True
     data = proto.SerializeToString()
     peer, mine = SentencePieceProcessor(model_proto=data), pieces.build(pieces.parse(data))
-    for text in ("ab ab", "abba  baab", "a é b", "bab ", ""):
+    texts = ["ab ab", "abba  baab", "a é b", "bab ", "", "  ", " ab  é\u2581 "]
+    for text in texts:
         assert mine.encode(text, add_special_tokens=False).ids == peer.encode(text)
+    assert pieces._by_parts(data, pa.array(texts))[0].to_pylist() == [peer.encode(t) for t in texts]
 
 
 def test_pages(spark, none):
