@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,16 +22,19 @@ def ship(module: str) -> None:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir; where unset (tests), a local one."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir. Where it is unset, a session whose
+    executors are threads of the driver (tests) gets a local one; any other has no folder to share, so that is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="lodestone-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
 def written(df: DataFrame, name: str, *, partition_by: str | None = None) -> DataFrame:
-    """df, written to the shared folder and read again: cuts the lineage, survives lost executors."""
+    """df, written to the shared folder and read again: cuts the lineage, survives lost executors. See `discard`."""
     spark = df.sparkSession
     path = f"{work_folder(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
     writer = df.write
@@ -40,7 +45,75 @@ def written(df: DataFrame, name: str, *, partition_by: str | None = None) -> Dat
     if partition_by:
         fields = [f for f in schema.fields if f.name != partition_by] + [schema[partition_by]]
         schema = type(schema)(fields)
-    return spark.read.schema(schema).parquet(path)
+    return _tabled(spark.read.schema(schema).parquet(path), path)
+
+
+def gathered(parts: Iterator[DataFrame], name: str) -> DataFrame:
+    """The rows of all parts, written one part after the other, so only one part's plan (and its broadcasts) runs at a time."""
+    path = None
+    for part in parts:
+        spark, schema = part.sparkSession, part.schema
+        path = path or f"{work_folder(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+        part.write.mode("append").parquet(path)
+    return _tabled(spark.read.schema(schema).parquet(path), path)
+
+
+def _tabled(df: DataFrame, path: str) -> DataFrame:
+    df._written_at = path
+    _paths.append(path)
+    return df
+
+
+#: Where this process has written tables that still stand.
+_paths: list[str] = []
+
+
+def mark() -> int:
+    """A place in the list of written tables, for `discard_since`."""
+    return len(_paths)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that `written` gave, once nothing unfinished reads them."""
+    for df in tables:
+        path = getattr(df, "_written_at", None)
+        if path in _paths:
+            _paths.remove(path)
+            _delete(df.sparkSession, path)
+
+
+def discard_since(spark: SparkSession, place: int, *keep: DataFrame) -> None:
+    """Deletes all tables written since `mark` gave `place`, but those to keep: after the result that read them is written."""
+    spared = {getattr(df, "_written_at", None) for df in keep}
+    for path in [p for p in _paths[place:] if p not in spared]:
+        _paths.remove(path)
+        _delete(spark, path)
+
+
+#: Keys with more rows than this, and than the HOT_KEYS-th part of all rows, are hot: there are fewer than HOT_KEYS of them.
+HOT_ROWS = 200
+HOT_KEYS = 20_000
+
+
+def joined_with_groups(rows: DataFrame, groups: DataFrame, key: str | list[str], size: str, total: int) -> DataFrame:
+    """rows joined with `groups`, which has one row per key and in `size` how many rows have the key; total: all rows.
+
+    Rows of a hot key stay where they are: the hot groups, fewer than HOT_KEYS by the counts, are broadcast. The other
+    rows are shuffled, at most the larger of HOT_ROWS and total / HOT_KEYS of them by one key. Both inputs should be written
+    tables. Rows without a group, and null keys, are left out.
+    """
+    keys = [key] if isinstance(key, str) else key
+    least = max(HOT_ROWS, total // HOT_KEYS)
+    hot = groups.filter(F.col(size) > least)
+    columns = [*rows.columns, *[c for c in groups.columns if c not in keys]]
+    near = rows.join(F.broadcast(hot), keys).select(*columns)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return near.unionByName(rest.join(groups.filter(F.col(size) <= least), keys).select(*columns))
 
 
 def text_of(name: str = "text") -> Column:

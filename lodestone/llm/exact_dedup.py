@@ -3,9 +3,13 @@
 Pass one reads a 64-bit hash of every normalised text and sets bits in two blocked Bloom filters: `once` (some
 row set this bit) and `twice` (at least two rows did). A row all of whose bits are in `twice` may be a repeat; any
 other row is certainly alone. Pass two probes `twice` with a broadcast join, and only possible repeats are shuffled,
-by the SHA-256 of the normalised text, which decides. Filters have at most MAX_WORDS words of 64 bits: beyond
-MAX_WORDS * DOCS_PER_WORD rows the hash space is cut into slices, each with a filter of its own, so what is
-broadcast at once has a fixed bound at any input size.
+by the SHA-256 of the normalised text, which decides; the verdict on a hot text is brought to its rows by a broadcast.
+
+A filter has at most max_words words of 64 bits (as a broadcast table about 50 bytes a word: 108 MB at the default, as
+measured). Beyond max_words * DOCS_PER_WORD rows the hash space is cut into slices with a filter each, worked on one
+after the other: rows are written by slice first (not shuffled), and each slice is marked and gathered before the next
+filter is built. Every slice costs some jobs and files, so give max_words as much as an executor can hold: 2^25 words
+(1.7 GB) mean 134 million rows a slice. Results do not depend on the number of slices.
 
 Defined cases: null text equals empty text; all empty texts are one group. Rows that repeat with one doc_id and one
 text share a verdict, and `deduplicate` returns one of them; it keeps every unique text, whatever its doc_id. A null doc_id stays only if its whole group has none. An empty table
@@ -21,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm._shared import WHITE, read, ship, text_of, work_folder, written
+from lodestone.llm._shared import WHITE, discard, gathered, joined_with_groups, read, ship, text_of, work_folder, written
 
 ship(__name__)
 
@@ -129,22 +133,37 @@ def _slice(slices: int) -> Column:
     return F.pmod(F.shiftrightunsigned("_hash", 24).bitwiseAND(F.lit(0xFFFF)), F.lit(slices)).cast("int")
 
 
+def _marked_slices(rows: DataFrame, words: int, slices: int) -> Iterator[DataFrame]:
+    """rows (with `_hash`) with `_maybe`, slice by slice; a slice's filter is deleted when the next slice is asked for."""
+    for at in range(slices):
+        mine = rows.filter(F.col("_slice") == at).drop("_slice") if slices > 1 else rows
+        found = repeat_filter(mine.select("_hash"), words)
+        yield _mark(mine, found, words)
+        if slices > 1:
+            discard(found)
+
+
 def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_words: int = MAX_WORDS) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
-    hashed = written(with_hashes(docs, id_col, text_col), "hashes")
-    words, slices = _size(hashed.count(), max_words)
-    if slices > 1:
-        hashed = written(hashed.withColumn("_slice", _slice(slices)), "slices", partition_by="_slice")
-    marked = None
-    for at in range(slices):
-        rows = hashed.filter(F.col("_slice") == at).drop("_slice") if slices > 1 else hashed
-        part = _mark(rows, repeat_filter(rows.select("_hash"), words), words)
-        marked = part if marked is None else marked.unionByName(part)
-    marked = marked.select("doc_id", "text_sha256", "_maybe")
+    words, slices = _size(docs.count(), max_words)
+    hashed = with_hashes(docs, id_col, text_col)
+    hashed = written(hashed.withColumn("_slice", _slice(slices)), "slices", partition_by="_slice") if slices > 1 else written(hashed, "hashes")
+    marked = gathered((part.drop("_hash") for part in _marked_slices(hashed, words, slices)), "marked")
+    discard(hashed)
     alone = marked.filter(~F.col("_maybe")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     maybe = marked.filter("_maybe").drop("_maybe")
-    groups = maybe.groupBy("text_sha256").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    repeats = maybe.join(groups, "text_sha256").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    groups = written(maybe.groupBy("text_sha256").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "groups")
+    total = groups.agg(F.sum("group_size")).first()[0] or 0
+    repeats = joined_with_groups(maybe, groups, "text_sha256", "group_size", total)
+    repeats = repeats.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    return alone.unionByName(repeats)
+
+
+def _stay(marked: DataFrame) -> DataFrame:
+    """Of rows (`_row`, `_id`, `_sha`, `_maybe`) those that stay: lone ones as they come, of equal texts the one of the smallest id."""
+    alone = marked.filter(~F.col("_maybe")).select("_row.*")
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row")))
+    repeats = marked.filter("_maybe").groupBy("_sha").agg(first.alias("_first")).select("_first.row.*")
     return alone.unionByName(repeats)
 
 
@@ -152,26 +171,21 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows that stay, with all their columns.
 
     A row that is certainly alone is passed on in the task that read it; only possible repeats are shuffled, with the
-    whole row. With several filters the rows are first written by slice and probed in the filter of their slice.
+    whole row (of each task's equal rows one). With several filters the rows are written by slice first, not shuffled.
     """
     columns = docs.columns
-    hashed = with_hashes(docs, id_col, text_col)
-    narrow = written(hashed.select("_hash"), "hashes")
-    words, slices = _size(narrow.count(), max_words)
+    words, slices = _size(docs.count(), max_words)
     text = F.regexp_replace(text_of(text_col), WHITE, " ")
-    rows = docs.select(F.struct(*[docs[c] for c in columns]).alias("_row"), docs[id_col].alias("_id"), F.xxhash64(text).alias("_hash"), F.sha2(text, 256).alias("_sha"))
-    if slices > 1:
-        rows = written(rows.withColumn("_slice", _slice(slices)), "slices", partition_by="_slice")
-    marked = None
-    for at in range(slices):
-        mine = rows.filter(F.col("_slice") == at).drop("_slice") if slices > 1 else rows
-        part = _mark(mine, repeat_filter(mine.select("_hash") if slices > 1 else narrow, words), words)
-        marked = part if marked is None else marked.unionByName(part)
-    alone = marked.filter(~F.col("_maybe")).select("_row.*")
-    maybe = marked.filter("_maybe")
-    first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row")))
-    repeats = maybe.groupBy("_sha").agg(first.alias("_first")).select("_first.row.*")
-    return alone.unionByName(repeats)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), F.col(f"`{id_col}`").alias("_id"), F.xxhash64(text).alias("_hash"), F.sha2(text, 256).alias("_sha"))
+    if slices == 1:
+        narrow = written(docs.select(F.xxhash64(text).alias("_hash")), "hashes")
+        found = repeat_filter(narrow, words)
+        discard(narrow)
+        return _stay(_mark(rows, found, words))
+    rows = written(rows.withColumn("_slice", _slice(slices)), "slices", partition_by="_slice")
+    kept = gathered((_stay(part) for part in _marked_slices(rows, words, slices)), "kept")
+    discard(rows)
+    return kept
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

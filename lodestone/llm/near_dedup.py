@@ -7,14 +7,15 @@ full; from round COORDINATES on, round i fills bin i - COORDINATES by itself, so
 coordinates agree with probability J, concentrated as for independent MinHashes. BANDS bands of ROWS coordinates
 give candidates: a pair at J = 0.75 escapes all bands with probability (1 - 0.75^5)^40 = 2e-5.
 
-Texts with one word sequence are folded into a class first (they are linked without any check), so copies never
-meet in buckets. In each bucket every class is held against the bucket's smallest one; links are confirmed on full
+Texts with one word sequence (a 128-bit hash of it) are folded into a class first (they are linked without any check), so copies never
+meet in buckets. Classes, not doc_ids, are linked, so a doc_id may stand on rows with different texts. In each bucket every class is held against the bucket's smallest one; links are confirmed on full
 sets. Where a bucket still holds several components after that, pairs across its components are held against each
 other too (in large buckets block by block), so no candidate link between different components is left unchecked.
 
 Defined cases: null, empty or white-space texts have no shingles and are their own component; a null doc_id cannot be
-named: its row is kept, linked with nothing, and component_id is null; repeated rows share a component; an empty
-table gives an empty result. Other columns are ignored. Two shingles count as equal when their 64-bit hashes are.
+named: its row is kept, linked with nothing, and component_id is null; repeated rows share a component and a verdict, so
+`deduplicate` keeps all or none of them; rows of one doc_id with different texts are linked by their own texts, and each has
+its own component; an empty table gives an empty result. Other columns are ignored. Two shingles count as equal when their 64-bit hashes are.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm._shared import read, ship, text_of, work_folder, written
+from lodestone.llm._shared import discard, joined_with_groups, read, ship, text_of, work_folder, written
 from lodestone.llm.components import connected_components
 
 ship(__name__)
@@ -40,7 +41,9 @@ COORDINATES = ROWS * BANDS
 CHUNK = 1 << 20
 #: Members of a mixed bucket up to which pairs across its components are rows; larger ones go by blocks.
 BUCKET = 32
-BLOCK = 200
+#: About the most documents and shingles of a block; two blocks meet in a task.
+BLOCK = 1000
+BLOCK_ITEMS = 500_000
 SEED = 7_919
 
 _U = np.uint64
@@ -162,7 +165,7 @@ def bands(coordinates: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
-    return [t.lower() for t in batch.column(1).cast(pa.binary()).to_pylist()]
+    return [t.lower() for t in batch.column("text").cast(pa.binary()).to_pylist()]
 
 
 def _batches(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
@@ -187,7 +190,8 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 items = shingles(words)
                 sizes.append(len(items))
                 keys.append(bands(sketch(items)) if len(items) else np.empty(0, np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(sizes, pa.int64()), _lists(keys)], names=["doc_id", "k1", "k2", "n", "bands"])
+            arrays = [batch.column("doc_id"), batch.column("tie"), *(pa.array(x, pa.int64()) for x in (k1, k2, sizes)), _lists(keys)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "tie", "k1", "k2", "n", "bands"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,39 +224,30 @@ def _block_pair(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     order = np.argsort(item, kind="stable")
     owner, item = owner[order], item[order]
     common = np.zeros((len(rows), len(rows)), np.float32)
-    for low in range(0, int(item[-1]) + 1, 4096):
-        lo, hi = np.searchsorted(item, [low, low + 4096])
-        part = np.zeros((len(rows), 4096), np.float32)
+    for low in range(0, int(item[-1]) + 1, 2048):
+        lo, hi = np.searchsorted(item, [low, low + 2048])
+        part = np.zeros((len(rows), 2048), np.float32)
         part[owner[lo:hi], item[lo:hi] - low] = 1
         common += part @ part.T
-    common = common.astype(np.int64)
-    linked = (100 * common >= PERCENT * (n[:, None] + n[None, :] - common)) & (component[:, None] != component[None, :])
+    least = 100 * common.astype(np.float64) + PERCENT * common  # 100 * common >= PERCENT * union
+    linked = np.triu(least >= PERCENT * (n[:, None] + n[None, :]), 1) & (component[:, None] != component[None, :])
     if key[1] != key[2]:
         linked &= block[:, None] != block[None, :]
-    root = {c: c for c in component}
-
-    def find(c: int) -> int:
-        while root[c] != c:
-            root[c] = c = root[root[c]]
-        return c
-
-    out = []
-    for i, j in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
-        a, b = find(component[i]), find(component[j])
-        if a != b:
-            root[max(a, b)] = min(a, b)
-            out.append((ids[i], ids[j]))
-    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+    i, j = np.nonzero(linked)
+    _, part = np.unique(component, return_inverse=True)
+    _, first = np.unique(np.minimum(part[i], part[j]) * len(rows) + np.maximum(part[i], part[j]), return_index=True)
+    return pd.DataFrame({"a": ids[i[first]], "b": ids[j[first]]}, dtype="int64")
 
 
 def _block_links(large: DataFrame, sets: DataFrame) -> DataFrame:
     """Links across components in large buckets. Buckets that share members become one group; a group is cut into blocks of
-    about BLOCK documents, and each pair of blocks is held against each other in a task of its own. Pairs of documents are never rows."""
+    about BLOCK documents or BLOCK_ITEMS shingles, and each pair of blocks is held against each other in a task of its own: a set
+    is read as often as its group has blocks, m members cost m * m / BLOCK sets. Pairs of documents are never rows."""
     heads = written(large.groupBy("key").agg(F.min("id").alias("head")), "heads")
     groups = connected_components(large.select("key", "id").join(heads, "key").select("id", "head"), "id", "head")
     members = large.select("id", "n", F.col("component")).distinct().join(groups.select(F.col("node").alias("id"), F.col("component").alias("group")), "id")
     members = written(members, "members")
-    blocks = members.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    blocks = members.groupBy("group").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_ITEMS)).cast("int").alias("blocks"))
     placed = members.join(written(blocks, "groups"), "group").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     dealt = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("id", "n", "component", "group", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
@@ -260,21 +255,27 @@ def _block_links(large: DataFrame, sets: DataFrame) -> DataFrame:
     return written(full.groupBy("group", "i", "j").applyInPandas(_block_pair, "a long, b long"), "across-blocks")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    signed = written(rows.mapInArrow(_signatures, "doc_id long, k1 long, k2 long, n long, bands array<long>"), "signatures")
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, tie (a hash of the text), n_shingles, component_id and kept of every row."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).withColumn("tie", F.xxhash64("text"))
+    signed = rows.select("doc_id", "text", "tie").mapInArrow(_signatures, "doc_id long, tie long, k1 long, k2 long, n long, bands array<long>")
+    signed = written(signed, "signatures")
     linked = signed.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = linked.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "n", "bands")).alias("_c"))
-    classes = written(classes.select("k1", "k2", F.col("_c.doc_id").alias("id"), F.col("_c.n").alias("n"), F.col("_c.bands").alias("bands")), "classes")
+    classes = linked.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "tie", "n", "bands")).alias("_c"), F.count(F.lit(1)).alias("size"))
+    classes = classes.select("k1", "k2", F.monotonically_increasing_id().alias("id"), F.col("_c.doc_id").alias("lead"), F.col("_c.tie").alias("tie"), F.col("_c.n").alias("n"), F.col("_c.bands").alias("bands"), "size")
+    classes = written(classes, "classes")
     buckets = classes.select("id", "n", F.explode("bands").alias("key"))
     heads = buckets.groupBy("key").agg(F.min(F.struct("id", "n")).alias("_h"), F.count(F.lit(1)).alias("c")).filter("c > 1")
     heads = written(heads, "bucket-heads")
     members = written(buckets.join(heads.select("key", F.col("_h.id").alias("head"), F.col("_h.n").alias("m"), "c"), "key"), "buckets")
+    discard(heads)
     pairs = members.filter((F.col("id") != F.col("head")) & _alike("n", "m"))
     pairs = written(pairs.select(F.col("id").alias("a"), "n", F.col("head").alias("b"), "m").distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).unionByName(members.filter("c > 2").select(F.col("id").alias("doc_id"))).distinct()
-    texts = rows.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]) if _repeated(signed) else rows.join(wanted, "doc_id", "left_semi")
+    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).unionByName(members.filter("c > 2").select("id")).distinct()
+    leads = wanted.join(classes.select("id", F.col("lead").alias("doc_id"), "tie"), "id")
+    texts = rows.join(leads, ["doc_id", "tie"]).select("id", "text")
+    if _repeated(signed):
+        texts = texts.dropDuplicates(["id"])
     sets = written(texts.mapInArrow(_sets, "id long, items array<long>"), "sets")
     links = _confirmed(pairs, sets, "links")
     component = connected_components(links, "a", "b")
@@ -292,24 +293,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         more = found if more is None else more.unionByName(found)
     if more is not None:
         component = connected_components(links.unionByName(more), "a", "b")
-    named = classes.select("k1", "k2", "id").join(component.withColumnRenamed("node", "id"), "id", "left")
-    named = named.select("k1", "k2", F.coalesce("component", "id").alias("_component"))
-    narrow = signed.select("doc_id", "k1", "k2", F.col("n").alias("n_shingles"))
-    has = narrow.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(named, ["k1", "k2"])
+    joint = written(component.withColumnRenamed("node", "id").join(classes.select("id", "lead"), "id"), "joint")
+    lows = written(joint.groupBy("component").agg(F.min("lead").alias("low"), F.count(F.lit(1)).alias("of")), "lows")
+    named = joined_with_groups(joint, lows, "component", "of", joint.count()).select("id", "low")
+    named = written(classes.select("k1", "k2", "id", "lead", "size").join(named, "id", "left").select("k1", "k2", "size", F.coalesce("low", "lead").alias("_component")), "named")
+    discard(members, pairs, sets, links, open_, across, joint, lows, classes)
+    narrow = signed.select("doc_id", "tie", "k1", "k2", F.col("n").alias("n_shingles"))
+    has = joined_with_groups(narrow.filter("n_shingles > 0 AND doc_id IS NOT NULL"), named, ["k1", "k2"], "size", narrow.count())
     none = narrow.filter("n_shingles = 0 OR doc_id IS NULL").withColumn("_component", F.col("doc_id"))
-    out = has.select("doc_id", "n_shingles", "_component").unionByName(none.select("doc_id", "n_shingles", "_component"))
-    return out.select("doc_id", "n_shingles", F.col("_component").alias("component_id"), F.col("doc_id").eqNullSafe(F.col("_component")).alias("kept"))
+    out = has.select("doc_id", "tie", "n_shingles", "_component").unionByName(none.select("doc_id", "tie", "n_shingles", "_component"))
+    return out.select("doc_id", "tie", "n_shingles", F.col("_component").alias("component_id"), F.col("doc_id").eqNullSafe(F.col("_component")).alias("kept"))
 
 
 def _repeated(signed: DataFrame) -> bool:
-    """Whether a doc_id stands on more than one row."""
-    return not signed.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    """Whether a doc_id stands on more than one row of the same text."""
+    return not signed.groupBy("doc_id", "tie").count().filter("count > 1").isEmpty()
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row."""
+    return _grouped(docs, id_col, text_col).drop("tie")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of documents that stay: one of each group, with all columns."""
-    dropped = near_duplicates(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(dropped, id_col, "left_anti")
+    """The rows of documents that stay: one document of each group, with all columns."""
+    dropped = _grouped(docs, id_col, text_col).filter(~F.col("kept")).select("doc_id", "tie").distinct()
+    mine = (F.col(f"`{id_col}`").cast("long") == F.col("_drop.doc_id")) & (F.xxhash64(text_of(text_col)) == F.col("_drop.tie"))
+    return docs.join(dropped.select(F.struct("doc_id", "tie").alias("_drop")), mine, "left_anti")
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -303,3 +303,51 @@ def test_pipeline(spark, sf):
             assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         assert docs.count() >= before if name == "mixing" else docs.count() <= before
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf).select("doc_id", "ids").collect())) == sorted(map(tuple, docs.select("doc_id", "ids").collect()))
+
+
+def test_repeated_ids_with_other_texts_keep_their_links(spark):
+    rows = [(1, "a b c d e f g h i j"), (1, "k l m n o p q r s t"), (3, "k l m n o p q r s t u"), (4, "a b c d e f g h i j"), (2, "other words that stand alone in here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_dedup.near_duplicates(docs).collect())
+    assert got == [(1, 6, 1, True), (1, 6, 1, True), (2, 3, 2, True), (3, 7, 1, False), (4, 6, 1, False)]
+    assert sorted(map(tuple, near_dedup.deduplicate(docs).collect())) == sorted([rows[0], rows[1], rows[4]])
+    crossed = spark.createDataFrame([(5, "a b c d e f"), (5, "k l m n o p q r s t"), (3, "k l m n o p q r s t u")], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["component_id"]) for r in near_dedup.near_duplicates(crossed).collect()) == [(3, 3), (5, 3), (5, 5)]
+    assert sorted(r["text"] for r in near_dedup.deduplicate(crossed).collect()) == ["a b c d e f", "k l m n o p q r s t u"]
+
+
+def all_pairs(rows):
+    """The component of each row, by holding every text against every other."""
+    words = [[w for w in re.split(r"[\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if w] for t in rows]
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for w in words]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    return root
+
+
+def test_near_dedup_against_all_pairs(spark, sf, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 7)  # several blocks in a group
+    monkeypatch.setattr("lodestone.llm._shared.HOT_ROWS", 3)  # hot keys
+    docs = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    base = [f"w{i}" for i in range(60)]
+    rows += [(10_000 + i, " ".join(f"x{j}" if j < i // 3 else w for j, w in enumerate(base)) + f" {i % 3}") for i in range(90)]
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {rows[i][0]: rows[r][0] for i, r in enumerate(all_pairs([t for _, t in rows]))}
+
+
+def test_hot_texts_and_slices(spark):
+    texts = [("hot", i) for i in range(1000)] + [(f"text {i % 150}", 2000 + i % 400) for i in range(1200)] + [(f"lone {i}", 7) for i in range(300)]
+    docs = spark.createDataFrame([(i, t, "x") for t, i in texts], "doc_id long, text string, text_sha256 string")
+    one, many = (sorted(map(tuple, exact_dedup.verdicts(docs, max_words=w).collect())) for w in (exact_dedup.MAX_WORDS, 64))
+    assert one == many and exact_dedup._size(len(texts), 64)[1] > 5
+    least, size = {}, {}
+    for t, i in texts:
+        least[t], size[t] = min(i, least.get(t, i)), size.get(t, 0) + 1
+    assert one == sorted((i, least[t], size[t], i == least[t], hashlib.sha256(t.encode()).hexdigest()) for t, i in texts)
+    kept = [sorted(map(tuple, exact_dedup.deduplicate(docs, max_words=w).collect())) for w in (exact_dedup.MAX_WORDS, 64)]
+    assert kept[0] == kept[1] == sorted((least[t], t, "x") for t in least)
