@@ -42,9 +42,9 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Bytes of text that are encoded at a time.
-BATCH_BYTES = 16 << 20
-#: Of them, those held against sentencepiece at a time, and the parts encoded at a time.
-PARITY_BYTES = 1 << 20
+BATCH_BYTES = 32 << 20
+#: Of them, those decoded and held against sentencepiece at a time, and the parts encoded at a time.
+CHECKED_BYTES = 1 << 20
 PARTS = 20_000
 
 
@@ -251,18 +251,31 @@ def _by_parts(data: bytes, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
     tokenizer = _part_encoder(data)
     parts, rows = _cut(_normalised(data, texts))
     coded = parts.dictionary_encode()
+    del parts
     different = pc.replace_substring(coded.dictionary, " ", MARK)
     lists = []
     for lo in range(0, len(different), PARTS):
         lists.append(_numbers([e.ids for e in tokenizer.encode_batch_fast(different.slice(lo, PARTS).to_pylist(), add_special_tokens=False)]))
     taken = (pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.int32()))).take(coded.indices)
-    ends = np.append(0, np.cumsum(pc.list_value_length(taken).to_numpy(zero_copy_only=False).astype(np.int64)))[rows]
-    flat = taken.flatten()
-    ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)
-    back = _joined(_piece_texts(data).take(flat), ends)
-    prefix = _plain[data][1]
-    wanted = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", pc.binary_join_element_wise("", texts, " ")) if prefix else texts
-    return ids, pc.equal(back, wanted.cast(pa.binary()))
+    ends = taken.offsets.to_numpy()[rows] if len(taken) else np.zeros(len(rows), np.int32)
+    ids = pa.ListArray.from_arrays(pa.array(ends), taken.values)
+    same, at = [pa.array([], pa.bool_())], 0
+    for some in _slices(texts, CHECKED_BYTES):
+        same.append(pc.equal(_decoded(data, ids.slice(at, len(some))), _expected(data, some)))
+        at += len(some)
+    return ids, pa.concat_arrays(same)
+
+
+def _decoded(data: bytes, ids: pa.Array) -> pa.Array:
+    """The bytes that lists of ids stand for, the space of the dummy prefix included."""
+    rows = np.append(0, np.cumsum(pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64)))
+    return _joined(_piece_texts(data).take(ids.flatten()), rows)
+
+
+def _expected(data: bytes, texts: pa.Array) -> pa.Array:
+    """What `_decoded` gives if decoding gives the text back."""
+    prefixed = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", pc.binary_join_element_wise("", texts, " ")) if _plain[data][1] else texts
+    return prefixed.cast(pa.binary())
 
 
 def _by_texts(data: bytes, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
@@ -286,7 +299,7 @@ def _equal_lists(mine: pa.Array, theirs: pa.Array) -> np.ndarray:
 def _agrees(data: bytes, texts: pa.Array, ids: pa.Array, threads: int) -> pa.Array:
     """Row by row, whether sentencepiece gives the same ids for the whole text."""
     same, at = [], 0
-    for some in _slices(texts, PARITY_BYTES):
+    for some in _slices(texts, CHECKED_BYTES):
         theirs = _numbers(_peer(data).encode(some.to_pylist(), num_threads=threads))
         same.append(pa.array(_equal_lists(ids.slice(at, len(some)), theirs), pa.bool_()))
         at += len(some)
@@ -319,8 +332,12 @@ def _encode(data: bytes, parity: bool, threads: int):
     return run
 
 
-def encode(docs: DataFrame, model_path: str = MODEL_PATH, parity: bool = True, threads: int = 2) -> DataFrame:
-    """doc_id, ids, round_trip (decoding gives the text back) and parity (sentencepiece agrees; null if not asked)."""
+def encode(docs: DataFrame, model_path: str = MODEL_PATH, parity: bool = True, threads: int | None = None) -> DataFrame:
+    """doc_id, ids, round_trip (decoding gives the text back) and parity (sentencepiece agrees; null if not asked).
+
+    threads: the libraries' own threads in a task; as many as a task has cores (spark.task.cpus) if not given.
+    """
+    threads = threads or int(docs.sparkSession.sparkContext.getConf().get("spark.task.cpus", "1"))
     with open(model_path, "rb") as file:
         data = file.read()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))

@@ -170,22 +170,64 @@ def test_mixing_reaches_the_weights(spark):
 
 
 def test_fixity(spark, none):
-    rows = [(i, f"http://h/{i}", None if i == 3 else f"<p>{i}") for i in range(40)] + [(7, "http://h/7", "<p>7"), (None, None, None)]
+    rows = [(i, f"http://h/{i}", None if i == 3 else f"<p>{i}" + "x" * (200_000 if i == 4 else 0)) for i in range(64)] + [(7, "http://h/7", "<p>7"), (9, "http://h/9", "other"), (None, None, None), (None, "http://h/n", "<p>n")]
     schema = "page_id long, url string, html string"
-    a = fixity.records(spark.createDataFrame(rows, schema).withColumn("at", F.lit("clash")), 16)
-    changed = [(p, u, "<b>20" if p == 20 else h) for p, u, h in rows if p != 39]
-    b = fixity.records(spark.createDataFrame(changed, schema), 16)
-    assert a.count() == 42 and a.agg(F.max("at")).first()[0] == 15
-    found = fixity.audit(fixity.tree(a, 16, 4), fixity.tree(b, 16, 4), 4).join(a, ["archive", "at"], "left").collect()
-    assert {(r["page_id"], r["status"]) for r in found} == {(20, "corrupt"), (39, "missing")}
+    first = fixity.records(spark.createDataFrame(rows, schema).withColumn("at", F.lit("clash")).withColumn("_b", F.lit(1)), 16)
+    laid = {(r["page_id"], r["sha256"]): r for r in first.collect()}
+    assert sum(r["copies"] for r in laid.values()) == len(rows)
+    at = 0
+    for r in sorted((r for r in laid.values() if r["archive"] == 0), key=lambda r: (r["at"], r["sha256"])):
+        assert r["offset"] == at  # records lie one behind the other
+        at += r["length"] * r["copies"]
+
+    def compared(changed):
+        second = fixity.records(spark.createDataFrame(changed, schema), 16)
+        report = fixity.audit(fixity.tree(first, 16, 4), fixity.tree(second, 16, 4), 16, 4)
+        found = fixity.differences(first, second, report.found).collect()
+        return {(r["page_id"], r["status"], r["copies"]) for r in found}, report.visited
+
+    assert compared(rows) == (set(), [5, 0, 0])  # four archives and that of null ids: one comparison each
+    # a record lost or added in the middle moves no other; the untouched archives cost one comparison
+    assert compared([r for r in rows if r[0] != 5]) == ({(5, "missing", 1)}, [5, 4, 4])
+    assert compared([*rows, (5, "http://h/5", "more")]) == ({(5, "extra", 1)}, [5, 4, 4])
+    assert compared([(p, u, "<b>20" if p == 20 else h) for p, u, h in rows]) == ({(20, "corrupt", 1)}, [5, 4, 4])
+    assert compared([r for r in rows if r[0] is not None]) == ({(None, "missing", 1)}, [5, 1, 1])
+    assert compared(rows[:-3] + [(7, "http://h/7", "<p>7")] + rows[-2:])[0] == {(7, "extra", 1), (9, "missing", 1)}
     assert fixity.records(spark.createDataFrame([], schema)).count() == 0
+    empty = fixity.tree(fixity.records(spark.createDataFrame([], schema), 16), 16, 4)
+    assert fixity.audit(empty, empty, 16, 4).visited == [0, 0, 0]
+
+
+def test_trees_against_plain_hashing(spark, sf):
+    """Every node, from the runs of records up, as plain Python hashes it."""
+    runs = fixity.records(spark.read.parquet(f"{sf}/pages.parquet"), 64)
+    got = {(r["level"], r["archive"], r["node"]): (r["hash"], r["lo"], r["hi"]) for r in fixity.tree(runs, 64, 8).collect()}
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    want, slots = {}, {}
+    for r in runs.collect():
+        slots.setdefault((r["archive"], r["at"]), []).append(r)
+    for (archive, at), rows in slots.items():
+        sums = [sum(int(r["sha256"][13 * i : 13 * i + 13] or "0", 16) * r["copies"] for r in rows) for i in range(5)]
+        told = [sum(r["copies"] for r in rows), sum(r["length"] * r["copies"] for r in rows), *sums]
+        want[0, archive, at] = sha(":".join(map(str, told))), min(r["offset"] for r in rows), max(r["offset"] + r["length"] * r["copies"] for r in rows)
+    for level in (1, 2):
+        for _, archive, node in sorted(k for k in want if k[0] == level - 1):
+            children = sorted((n, *want[k, a, n]) for k, a, n in want if (k, a, n // 8) == (level - 1, archive, node // 8))
+            want[level, archive, node // 8] = sha(",".join(f"{n}:{hi - lo}:{h}" for n, h, lo, hi in children)), min(c[2] for c in children), max(c[3] for c in children)
+    assert got == want
 
 
 def test_warc_file(spark, tmp_path):
-    records = [b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(x), x) for x in (b"one", b"two\r\n\r\nWARC/1.0")]
-    (tmp_path / "a.warc").write_bytes(b"".join(records))
-    got = fixity.read_warc(spark, str(tmp_path)).orderBy("at").collect()
-    assert [(r["offset"], r["length"], r["sha256"]) for r in got] == [(0, len(records[0]), hashlib.sha256(records[0]).hexdigest()), (len(records[0]), len(records[1]), hashlib.sha256(records[1]).hexdigest())]
+    records = [b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:%d>\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (i, len(x), x) for i, x in enumerate((b"one", b"two\r\n\r\nWARC/1.0", b"three"))]
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "a.warc").write_bytes(b"".join(records))
+    got = fixity.read_warc(spark, str(tmp_path / "a")).orderBy("at").collect()
+    assert [(r["offset"], r["length"], r["sha256"], r["record_id"]) for r in got][:2] == [(0, len(records[0]), hashlib.sha256(records[0]).hexdigest(), "<urn:0>"), (len(records[0]), len(records[1]), hashlib.sha256(records[1]).hexdigest(), "<urn:1>")]
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "a.warc").write_bytes(records[0] + records[2])
+    one, two = (fixity.by_record_id(fixity.read_warc(spark, str(tmp_path / x)).withColumn("archive", F.lit("a.warc"))) for x in "ab")
+    found = fixity.audit(fixity.tree(one), fixity.tree(two)).found
+    assert [(r["record_id"], r["status"]) for r in fixity.differences(one, two, found, "record_id").collect()] == [("<urn:1>", "missing")]
 
 
 def test_pieces(odd, none):
