@@ -1,14 +1,18 @@
 """HTML extraction (operator 10): a style tree per site finds branches that all pages share; they are removed.
 
-Every page is parsed leniently (implied end tags, raw text of scripts and styles, unclosed tags, references). The DOMs
-of one host are merged by path: an element node is the chain of tags with first class and id. Over the pages that
-have it, the entropies of its presentation (the styles of its children) and of its content (its text) are divided by
-the logarithm of their number, so 0 means always the same and 1 always different. Importance = GAMMA * content +
-(1 - GAMMA) * presentation. A path with text on at least PAGES different pages of its host with an importance below
-LEAST is a low branch and is removed, inside an article or main element too, as are the tags, classes, ids and roles
-that name menus, headers, footers, sidebars, notices, adverts, forms and comments (a host with few pages has no
-statistics). Class names and ids count as wholes; those, the tags and roles that can stand for a part of the text too
-(related, legal, notice, dialog ...) count outside an article or main element only, inside the style tree decides. No element drops the text beside it. If nothing would be left, the low branches stay.
+Every page is parsed leniently (implied end tags, raw text of scripts and styles, unclosed tags, references), in time and
+memory linear in its length, however deep it is nested. The DOMs of one host are merged by path: a node is a block
+element, its path the chain of block tags with first class and id. Over the pages that have it, the entropies of its
+presentation (the styles of its children) and of its content (the text of the whole branch, so that variety in a
+descendant counts for all nodes above it) are divided by the logarithm of their number, so 0 means always the same and 1
+always different. Importance = GAMMA * content + (1 - GAMMA) * presentation. A path with text on at least PAGES different
+pages of its host with an importance below LEAST is a low branch and is removed, inside an article or main element too.
+
+So are, at any number of pages, elements (inline ones too) with a tag, whole class name, whole id or role that names menus,
+headers, footers, sidebars, notices, adverts, forms and comments. Those that can stand for a part of the text too (related,
+legal, notice, dialog ...) count outside an article or main element only, inside the style tree decides. A page whose only
+article or main stands below an element with the name of a layout part (a sidebar, banner, form ...) keeps that article.
+If nothing would be left, the low branches stay.
 
 Blocks are the text between block-level tags, white space folded to one space; br counts as white space.
 
@@ -21,6 +25,8 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -35,6 +41,7 @@ GAMMA = 0.9
 PAGES = 5
 LEAST = 0.25
 BROADCAST_ROWS = 200_000
+PAGES_PER_PART = 50_000
 
 # fixed values: element kinds of the HTML standard, and names of noise
 BLOCKS = frozenset(
@@ -63,19 +70,33 @@ OUTER_NAMES = frozenset(
 )
 NOISE_ROLES = frozenset("navigation banner contentinfo menubar".split())
 OUTER_ROLES = frozenset("complementary search dialog alert alertdialog menu form".split())
+#: Parts of a layout that can hold the whole article: not readers' comments, menus or lists of other articles.
+LAYOUT = frozenset("form sidebar sidebars leftsidebar rightsidebar navbar toolbar widget widgets modal popup banner masthead header head mainheader pageheader siteheader search notice notices promo".split())
+HEAD_PARTS = frozenset("base link meta title script style noscript template".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody"}}
 _FENCE = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}, "tbody": {"table"}, "tfoot": {"table"}}
+#: End tags and implied ends of p do not reach beyond these, but for parts of tables.
+_SCOPE = frozenset("table caption td th object template button".split())
+_TABLE = frozenset("table caption tbody thead tfoot tr td th".split())
 _TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z][^\s=/>"']*+)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))|([a-zA-Z][^\s=/>"']*+)""")
 #: Their ids are slugs of their words.
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _KEPT_IN = frozenset({"article", "main"})
+_MASK = (1 << 64) - 1
+CLEAN, NAMED, NOISE = 0, 1, 2
 
 
 def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
+def _folded(state: int, value: int) -> int:
+    """The state of a running hash after one more value."""
+    x = ((state * 0x9E3779B97F4A7C15 + value) ^ (state >> 29)) & _MASK
+    return ((x ^ (x >> 32)) * 0xD6E8FEB86659FD93) & _MASK
+
+
 def _attributes(text: str) -> dict[str, str]:
     out: dict[str, str] = {}
     for m in _ATTRIBUTE.finditer(text):
@@ -83,64 +104,109 @@ def _attributes(text: str) -> dict[str, str]:
     return out
 
 
-def _noise(tag: str, attributes: dict[str, str], inside: bool) -> bool:
+def _noise(tag: str, attributes: dict[str, str], inside: bool) -> int:
+    """NOISE, NAMED (noise, but a part of the layout that could hold the article) or CLEAN."""
     if tag in NOISE_TAGS or (not inside and tag in OUTER_TAGS):
-        return True
+        return NAMED if tag in LAYOUT else NOISE
     if not attributes:
-        return False
+        return CLEAN
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", attributes.get("style", ""), re.I):
-        return True
+        return NOISE
     role = attributes.get("role", "").strip().lower()
     if role in NOISE_ROLES or (not inside and role in OUTER_ROLES):
-        return True
+        return NAMED if role in LAYOUT else NOISE
     if tag in ("body", "html", "article", "main"):
-        return False
+        return CLEAN
     named = attributes.get("class", "") if tag in _HEADINGS else f"{attributes.get('class', '')} {attributes.get('id', '')}"
     names = {n.replace("-", "").replace("_", "") for n in named.lower().split()}
-    return bool(names & NOISE_NAMES) or (not inside and bool(names & OUTER_NAMES))
+    names = (names & NOISE_NAMES) | (set() if inside else names & OUTER_NAMES)
+    return CLEAN if not names else NAMED if names <= LAYOUT else NOISE
+
+
+@dataclass(slots=True)
+class _Element:
+    tag: str
+    path: int
+    noise: int
+    inside: bool  # of an article or main
+    low: bool
+    at: int  # of the nearest block element, itself included
+    sign: str = ""
+    look: int = 0
+    content: int = 0
+    last: str = ""
+    told: bool = False
 
 
 class Page:
-    """blocks: (paths from the root down, noise, text); styles: path -> [children, texts]."""
+    """blocks: (text without low branches, text with them, whether it is a rescued article's); styles: path -> [presentation, content] of nodes with text."""
 
-    def __init__(self, html: str, stats: bool) -> None:
-        self.blocks: list[tuple[tuple[int, ...], bool, str]] = []
-        self.styles: dict[int, list[list]] = {}
+    def __init__(self, html: str, low: frozenset[int] = frozenset(), stats: bool = False) -> None:
+        self.blocks: list[tuple[str, str, bool]] = []
+        self.styles: dict[int, list[int]] = {}
+        self.has_article = False
+        self._low = low
         self._stats = stats
-        self._stack: list[tuple[str, int, bool, bool]] = []
-        self._text: list[str] = []
+        self._stack = [_Element("", 0, CLEAN, False, False, 0)]
+        self._at: dict[str, list[int]] = {}
+        self._text: list[tuple[str, bool, bool]] = []  # text, low, rescued
         self._parse(html)
 
+    def _last(self, tags: frozenset[str] | set[str]) -> int:
+        """Where in the stack the innermost of the tags is open; 0 if none is."""
+        return max((places[-1] for t in tags if (places := self._at.get(t))), default=0)
+
     def _flush(self) -> None:
         if not self._text:
             return
-        text = " ".join("".join(self._text).split())
+        whole = " ".join("".join(t for t, _, _ in self._text).split())
+        if whole:
+            rescued = any(r for _, _, r in self._text)
+            kept = " ".join("".join(t for t, low, _ in self._text if not low).split()) if any(low for _, low, _ in self._text) else whole
+            self.blocks.append((kept, whole, rescued))
+            node = self._stack[self._stack[-1].at]
+            self.has_article |= node.inside and not rescued
+            if self._stats:
+                node.content, node.told = _folded(node.content, _hash(whole)), True
         self._text.clear()
-        if not text:
-            return
-        stack = self._stack
-        self.blocks.append((tuple(s[1] for s in stack), bool(stack) and stack[-1][2], text))
-        if self._stats:
-            for s in stack:
-                self.styles[s[1]][1].append(text)
 
-    def _pop(self, tag: str) -> None:
-        while self._stack:
-            if self._stack.pop()[0] == tag:
-                return
+    def _cut(self, size: int) -> None:
+        """Closes what is open from `size` on."""
+        stack = self._stack
+        while len(stack) > size:
+            e = stack.pop()
+            self._at[e.tag].pop()
+            if self._stats and e.at == len(stack) and e.told:
+                above = stack[stack[-1].at]
+                above.content, above.told = _folded(above.content, e.content), True
+                both = self.styles.setdefault(e.path, [0, 0])
+                both[0], both[1] = _folded(both[0], e.look), _folded(both[1], e.content)
 
     def _open(self, tag: str, attributes: dict[str, str]) -> None:
-        parent = self._stack[-1] if self._stack else ("", 0, False, False)
-        sign = f"{tag}.{attributes.get('class', '').split(' ')[0]}#{attributes.get('id', '')}" if attributes else tag
-        path = _hash(f"{parent[1]}>{sign}")
-        inside = parent[3] or tag in _KEPT_IN
-        self._stack.append((tag, path, parent[2] or _noise(tag, attributes, inside), inside))
-        if self._stats:
-            if parent[1] in self.styles:
-                children = self.styles[parent[1]][0]
-                if not children or children[-1] != sign:
-                    children.append(sign)
-            self.styles.setdefault(path, [[], []])
+        stack = self._stack
+        parent = stack[-1]
+        inside = parent.inside or tag in _KEPT_IN
+        own = _noise(tag, attributes, inside)
+        noise = NOISE if parent.noise == NOISE or (own and parent.inside) or (own and parent.noise) else parent.noise or own
+        if tag in BLOCKS:
+            sign = f"{tag}.{attributes.get('class', '').split(' ')[0]}#{attributes.get('id', '')}" if attributes else tag
+            path = _hash(f"{parent.path}>{sign}")
+            if self._stats:
+                above = stack[parent.at]
+                if above.last != sign:
+                    above.look, above.last = _folded(above.look, _hash(sign)), sign
+            stack.append(_Element(tag, path, noise, inside, parent.low or path in self._low, len(stack), sign))
+        else:
+            stack.append(_Element(tag, parent.path, noise, inside, parent.low, parent.at))
+        self._at.setdefault(tag, []).append(len(stack) - 1)
+
+    def _close(self, tag: str) -> None:
+        places = self._at.get(tag)
+        if not places:
+            return
+        fence = self._stack[-1].at - 1 if tag not in BLOCKS else 0 if tag in _TABLE else self._last(_SCOPE - {tag})
+        if places[-1] > fence:
+            self._cut(places[-1])
 
     def _parse(self, html: str) -> None:
         at, size = 0, len(html)
@@ -159,39 +225,44 @@ class Page:
             if tag in BLOCKS:
                 self._flush()
             elif tag == "br":
-                self._text.append(" ")
+                self._add(" ")
             if closing:
-                if tag == "p" and not any(s[0] == "p" for s in self._stack):
-                    continue
-                if any(s[0] == tag for s in self._stack):
-                    self._pop(tag)
+                self._close(tag)
                 continue
-            if tag in BLOCKS and any(s[0] == "p" for s in self._stack[-6:]):
-                self._pop("p")
+            if tag not in HEAD_PARTS and self._at.get("head"):
+                self._cut(self._at["head"][-1])
+            if tag in BLOCKS and (p := self._at.get("p")) and p[-1] > self._last(_SCOPE):
+                self._cut(p[-1])
             if tag in CLOSES:
-                for k in range(len(self._stack) - 1, -1, -1):
-                    if self._stack[k][0] in _FENCE[tag]:
-                        break
-                    if self._stack[k][0] in CLOSES[tag]:
-                        del self._stack[k:]
-                        break
+                fence = self._last(_FENCE[tag])
+                open_ = [places[k] for t in CLOSES[tag] if (places := self._at.get(t)) for k in (-1,) if places[-1] > fence]
+                if open_:
+                    self._cut(min(open_))
             if tag in VOID:
                 continue
             attributes = _attributes(rest) if rest and not rest.isspace() and rest != "/" else {}
             if tag in RAW:
-                end = re.compile(rf"</{tag}(?=[\s/>])[^>]*+>|\Z", re.I).search(html, at)
+                end = _raw_end(tag).search(html, at)
                 at = end.end()
                 continue
             self._open(tag, attributes)
         self._flush()
+        self._cut(1)
 
     def _add(self, text: str) -> None:
-        self._text.append(unescape(text) if "&" in text else text)
+        top = self._stack[-1]
+        if top.noise == CLEAN or (top.noise == NAMED and top.inside):
+            self._text.append((unescape(text) if "&" in text else text, top.low, top.noise == NAMED))
+
+    def text(self) -> str:
+        good = [b for b in self.blocks if not (b[2] and self.has_article)]
+        kept = [b[0] for b in good if b[0]]
+        return "\n\n".join(kept if kept else [b[1] for b in good])
+
 
-    def text(self, low: frozenset[int]) -> str:
-        good = [b for b in self.blocks if not b[1]]
-        kept = [b[2] for b in good if not low.intersection(b[0])]
-        return "\n\n".join(kept if kept else [b[2] for b in good])
+@lru_cache(maxsize=32)
+def _raw_end(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}(?=[\s/>])[^>]*+>|\Z", re.I)
 
 
 def host_of(url: str) -> Column:
@@ -203,14 +274,12 @@ def _styles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hosts, pages, paths, looks, contents = [], [], [], [], []
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
             page = _hash(html)
-            for path, (children, texts) in Page(html, True).styles.items():
-                if not texts:  # nothing to remove, and no sign of what the path's texts are
-                    continue
+            for path, (look, content) in Page(html, stats=True).styles.items():
                 hosts.append(host)
                 pages.append(page)
                 paths.append(path)
-                looks.append(_hash("|".join(children)))
-                contents.append(_hash("\n".join(texts)))
+                looks.append(look - (1 << 63))
+                contents.append(content - (1 << 63))
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *(pa.array(x, pa.int64()) for x in (pages, paths, looks, contents))], names=["host", "page", "path", "look", "content"])
 
 
@@ -231,7 +300,7 @@ def low_branches(rows: DataFrame, gamma: float = GAMMA, pages: int = PAGES, leas
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [Page(html, False).text(frozenset(low or ())) for html, low in zip(batch.column("html").to_pylist(), batch.column("low").to_pylist(), strict=True)]
+        texts = [Page(html, frozenset(low or ())).text() for html, low in zip(batch.column("html").to_pylist(), batch.column("low").to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
@@ -241,7 +310,13 @@ def extract(pages: DataFrame) -> DataFrame:
     low = written(low_branches(rows).groupBy("host").agg(F.collect_list("path").alias("low"), F.count(F.lit(1)).alias("n")), "low")
     size = low.agg(F.sum("n")).first()[0] or 0
     low = low.drop("n")
-    joined = rows.join(F.broadcast(low) if size <= BROADCAST_ROWS else low, "host", "left")
+    if size <= BROADCAST_ROWS:
+        joined = rows.join(F.broadcast(low), "host", "left")
+    else:  # a host's pages are dealt over several keys, so that none gathers the pages of a large host
+        parts = 1 + pages.count() // PAGES_PER_PART
+        dealt = rows.withColumn("_part", F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(parts)))
+        low = low.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+        joined = dealt.join(low, ["host", "_part"], "left")
     return joined.select("page_id", "url", "html", "low").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
 
 

@@ -304,7 +304,7 @@ def test_style_tree_reaches_into_articles_and_spares_what_is_beside(spark):
 
 
 def test_names_of_noise_are_matched_whole():
-    text = lambda html: pages.Page(html, False).text(frozenset())
+    text = lambda html: pages.Page(html).text()
     kept = """<article><h2 id="related-work">Related work</h2><h2 id="comments">On comments</h2><section id="legal-history">History</section><div class="search-results-study">Study</div>
     <section class="related legal notice" role="alert">Part</section><p>Let <math><mi>x</mi></math> be</p><p><label>Label</label></p><object>Object</object><dialog>Dialog</dialog></article>"""
     assert text(kept) == "Related work\n\nOn comments\n\nHistory\n\nStudy\n\nPart\n\nLet x be\n\nLabel\n\nObject\n\nDialog"
