@@ -36,7 +36,7 @@ KINDS = ("email", "ip", "card", "phone")
 ALL_KINDS = (*KINDS, "secret")
 MAX_ROUNDS = 1000
 SUPPORT = 5
-CONFIDENCE = 0.8
+CONFIDENCE = 0.3
 
 _LOCAL_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")

@@ -393,3 +393,82 @@ def test_hot_texts_and_slices(spark):
     assert one == sorted((i, least[t], size[t], i == least[t], hashlib.sha256(t.encode()).hexdigest()) for t, i in texts)
     kept = [sorted(map(tuple, exact_dedup.deduplicate(docs, max_words=w).collect())) for w in (exact_dedup.MAX_WORDS, 64)]
     assert kept[0] == kept[1] == sorted((least[t], t, "x") for t in least)
+
+
+def scored_by_hand(texts):
+    """The accepted patterns and the spans, as plain loops over the occurrences give them."""
+    found = [list(private.occurrences(t, private.base_spans(t))) for t in texts]
+    graph, seeds = {}, set()
+    for rows in found:
+        for pattern, instance, kind, seed, _, _ in rows:
+            graph.setdefault((pattern, kind), set()).add(instance)
+            if seed:
+                seeds.add((instance, kind))
+    accepted, trust = {}, dict.fromkeys(seeds, 1.0)
+    while True:
+        new = {}
+        for (pattern, kind), instances in graph.items():
+            given = [trust.get((i, kind), 0.0) for i in instances]
+            if (pattern, kind) not in accepted and sum(x >= 0.5 for x in given) >= private.SUPPORT and sum(given) / len(given) >= private.CONFIDENCE:
+                new[pattern, kind] = sum(given) / len(given)
+        if not new:
+            break
+        accepted |= new
+        doubt = {}
+        for key, confidence in accepted.items():
+            for i in graph[key]:
+                doubt[i, key[1]] = doubt.get((i, key[1]), 1.0) * max(1e-9, 1 - confidence)
+        trust = {k: 1.0 if k in seeds else 1 - d for k, d in doubt.items()} | dict.fromkeys(seeds, 1.0)
+    order = {k: i for i, k in enumerate(private.ALL_KINDS)}
+    spans = []
+    for text, rows in zip(texts, found, strict=True):
+        more = {}
+        for pattern, _, kind, seed, start, end in rows:
+            if (not seed or kind == "secret") and (pattern, kind) in accepted:
+                more[start, end] = min(more.get((start, end), kind), kind, key=order.get)
+        every = [(s, order[k], e, k) for s, e, k in private.base_spans(text)] + [(s, order[k], e, k) for (s, e), k in more.items()]
+        spans.append(",".join(f"{k}:{s}:{e}" for s, _, e, k in sorted(every)))
+    return set(accepted), spans
+
+
+def test_private_finds_unseen_identifiers(spark, sf):
+    """Identifiers that no base pattern knows, in contexts that seeds have, directly and through others: recall of the added spans."""
+    planted, texts = [], []
+
+    def plant(i, before, unseen, after, kind):
+        text = f"Note {'abcdefghij'[i % 10]} says: {before}{unseen}{after} and more words follow"
+        planted.append((len(texts), f"{kind}:{text.index(unseen)}:{text.index(unseen) + len(unseen)}"))
+        texts.append(text)
+
+    for i in range(30):
+        texts += [f"word{i} call us at +1 (523) 555-10{i:02d} for help", f"word{i} write to user{i}@mail.example.org for help", f"the host 10.0.{i}.7 went down, {i}", f'x token = "{hashlib.sha1(str(i).encode()).hexdigest()}" y']
+        plant(i, "call us at ", f"0523 555 12{i:02d}", " for help", "phone")
+        plant(i, "write to ", f"user{i} [at] host{i}.example.net", " for help", "email")
+        plant(i, "the host ", f"2001:db8:0:0:0:0:0:{i:x}", " went down,", "ip")
+        plant(i, 'x token = "', f"sk_live_{i:02d}ABCDEFGH{i:04d}", '"', "secret")
+        plant(i, "ring Tel : ", f"0523 555 12{i:02d}", " now", "phone")  # a pattern that only unseen ones have
+        plant(i, "ring Tel : ", f"0700 111 44{i:02d}", " now", "phone")
+    clean = [f"version 523-555-10{i:02d} came out in {1990 + i} with part ABCD-{i:04d}-EFGH-0123" for i in range(30)]
+    docs = [(i, t) for i, t in enumerate(texts + clean)]
+    got = {r["doc_id"]: r["spans"] for r in private.find(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    recall = sum(span in got[i].split(",") for i, span in planted) / len(planted)
+    assert recall >= 0.9, recall
+    assert all(got[len(texts) + i] == "" for i in range(len(clean)))
+    _, want = scored_by_hand([t for _, t in docs])
+    assert [got[i] for i in range(len(docs))] == want
+
+
+def test_private_against_plain_loops(spark, sf):
+    rows = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()
+    got = {r["doc_id"]: r["spans"] for r in private.op7_private_data(spark, sf).collect()}
+    _, want = scored_by_hand([r["text"] or "" for r in rows])
+    assert [got[r["doc_id"]] for r in rows] == want
+
+
+def test_private_is_linear_in_the_text():
+    import time
+
+    began = time.process_time()
+    for text in ("1 " * 100_000, "1:" * 50_000, "1.2.3.4.5" * 10_000, "a@" * 50_000, "é" * 100_000 + " 1", "é4111111111111111" * 5_000, "(" * 100_000 + "1"):
+        list(private.occurrences(text, private.base_spans(text)))
+    assert time.process_time() - began < 20
