@@ -472,3 +472,138 @@ def test_private_is_linear_in_the_text():
     for text in ("1 " * 100_000, "1:" * 50_000, "1.2.3.4.5" * 10_000, "a@" * 50_000, "é" * 100_000 + " 1", "é4111111111111111" * 5_000, "(" * 100_000 + "1"):
         list(private.occurrences(text, private.base_spans(text)))
     assert time.process_time() - began < 20
+
+
+def page_text(html, low=frozenset()):
+    return pages.Page(html, low).text()
+
+
+def test_inline_noise_goes_and_layout_names_spare_the_article():
+    assert page_text('<article><p>Text <span class="ad">BUY NOW</span> and <button>Click</button> more</p><button>Subscribe</button><p>End</p><svg><text>x</text></svg></article>') == "Text and more\n\nEnd"
+    assert page_text('<div class="content with-sidebar"><article><p>One</p></article></div>') == "One"
+    assert page_text('<div class="sidebar"><p>Links</p><article><p>One</p></article></div><div class="footer">f</div>') == "One"
+    assert page_text('<form><div>Field</div><main><p>One</p><form>f</form></main></form>') == "One"
+    assert page_text('<article><p>One</p></article><div class="sidebar"><article>Teaser</article></div>') == "One"
+    assert page_text('<div id="comments"><article>Reader</article></div><p>One</p>') == "One"
+    assert page_text("<head><title>t</title><body><p>One</p>") == "One"
+    assert page_text("<p>a<table><tr><td>b</p>c<td>d</table>e") == "a\n\nb\n\nc\n\nd\n\ne"
+    assert page_text("<div>a<b>b</div>c</b>d<i>e</div>f") == "ab\n\ncde\n\nf"
+
+
+@pytest.mark.parametrize("html", ["<div>" * 100_000 + "deep", "<p><b>" * 50_000 + "deep", "<ul><li>" * 30_000 + "x<li>deep", "<div><p>a</div>" * 30_000 + "deep", "<table><tr><td>" * 30_000 + "<p>deep", "<b>" * 50_000 + "</i>" * 50_000 + "deep", "<section>a " * 20_000 + "deep", "<" * 100_000 + "deep", "&amp;" * 50_000 + "deep", "<a href='" * 20_000 + "deep"])
+def test_pages_take_linear_time(html):
+    import time
+
+    began = time.process_time()
+    got = pages.Page(html, stats=True)
+    assert time.process_time() - began < 10
+    assert got.text().endswith("deep") or "href" in html
+    assert sum(len(b[1]) for b in got.blocks) <= len(html)
+
+
+def tree_by_hand(rows):
+    """Texts as a plain recursion over whole trees gives them: html.parser, strings for hashes, counters for entropies."""
+    import math
+    from collections import Counter, defaultdict
+    from html.parser import HTMLParser
+
+    class Dom(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.root = ["", {}, []]
+            self.open = [self.root]
+
+        def handle_starttag(self, tag, attrs):
+            while tag in pages.BLOCKS and any(e[0] == "p" for e in self.open):
+                self.open.pop()
+            node = [tag, dict(attrs), []]
+            self.open[-1][2].append(node)
+            if tag not in pages.VOID:
+                self.open.append(node)
+
+        def handle_endtag(self, tag):
+            if any(e[0] == tag for e in self.open):
+                while self.open.pop()[0] != tag:
+                    pass
+
+        def handle_data(self, data):
+            self.open[-1][2].append(data)
+
+    def blocks(node, path, noise, out, looks):
+        """Appends (path, text) blocks in order to out and to looks[path] the styles of the children; returns whether the node has text."""
+        for child in node[2]:
+            if isinstance(child, str):
+                if not noise:
+                    out.append((path, child))
+                continue
+            tag, attrs, _ = child
+            block = tag in pages.BLOCKS or tag == "br"
+            sign = tag if not attrs else f"{tag}.{attrs.get('class', '').split(' ')[0]}#{attrs.get('id', '')}"
+            if block:
+                out.append((path, None if tag != "br" else " "))
+            if tag in pages.RAW or tag in pages.VOID:
+                continue
+            below = (*path, sign) if tag in pages.BLOCKS else path
+            if tag in pages.BLOCKS:
+                if not looks[path] or looks[path][-1] != sign:
+                    looks[path].append(sign)
+            blocks(child, below, noise or tag in pages.NOISE_TAGS or attrs.get("class") in pages.NOISE_NAMES, out, looks)
+            if block:
+                out.append((path, None))
+
+    parsed, styles = {}, defaultdict(dict)
+    for page_id, url, html in rows:
+        dom, out, looks = Dom(), [], defaultdict(list)
+        dom.feed(html)
+        dom.close()
+        blocks(dom.root, (), False, out, looks)
+        folded, text = [], []
+        for path, data in [*out, ((), None)]:
+            if data is None:
+                said = " ".join("".join(t for _, t in text).split())
+                if said:
+                    folded.append((text[-1][0] if text[-1][1].strip() else next(p for p, t in reversed(text) if t.strip()), said))
+                text = []
+            else:
+                text.append((path, data))
+        parsed[page_id] = folded
+        contents = defaultdict(list)
+        for path, said in folded:
+            for k in range(1, len(path) + 1):
+                contents[path[:k]].append((path[k:], said))
+        host = re.sub(r"^[a-z]+://([^/?#:]*).*", r"\1", url.lower(), flags=re.S)
+        for path, said in contents.items():
+            styles[host, path][html] = (tuple(looks[path]), tuple(said))
+    low = set()
+    for (host, path), seen in styles.items():
+        if (n := len(seen)) >= pages.PAGES:
+            part = lambda i: 1 - sum(c * math.log(c) for c in Counter(v[i] for v in seen.values()).values()) / (n * math.log(n))
+            if pages.GAMMA * part(1) + (1 - pages.GAMMA) * part(0) < pages.LEAST:
+                low.add((host, path))
+    got = {}
+    for page_id, url, _ in rows:
+        host = re.sub(r"^[a-z]+://([^/?#:]*).*", r"\1", url.lower(), flags=re.S)
+        kept = [t for p, t in parsed[page_id] if not any((host, p[:k]) in low for k in range(1, len(p) + 1))]
+        got[page_id] = "\n\n".join(kept or [t for _, t in parsed[page_id]])
+    return got, low
+
+
+def test_pages_against_whole_trees(spark, sf):
+    """All given pages, and sites whose articles hold what the tree alone can tell: it changes their results."""
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html").collect()]
+    strip = "<div class=strip><p>Read on at our site</p><p>More</p></div>"
+    rows += [(1_000_000 + i, f"https://t.example/{i}", f"<body><div class=top>Home</div><article><h1>Head {i}</h1><p>Text {i}</p>{strip}<div class=by>By {'AB'[i % 2]}</div><p>{'end ' * i}</p></article></body>") for i in range(12)]
+    got = {r["page_id"]: r["text"] for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    want, low = tree_by_hand(rows)
+    assert got == want
+    assert got[1_000_003] == "Head 3\n\nText 3\n\nBy B\n\nend end end" and page_text(rows[-9][2]) != got[1_000_003]
+    assert any(h == "t.example" and p[-1] == "div.strip#" for h, p in low)
+
+
+def test_pages_of_large_hosts_are_dealt(spark, monkeypatch):
+    rows = [(i, f"https://t.example/{i}", f"<div class=top>Home</div><p>Text {i}</p>") for i in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    one = sorted(map(tuple, pages.extract(df).collect()))
+    monkeypatch.setattr(pages, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(pages, "PAGES_PER_PART", 10)
+    assert sorted(map(tuple, pages.extract(df).collect())) == one and one[3][2] == "Text 3"
