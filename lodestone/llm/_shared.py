@@ -128,27 +128,25 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def quantile_buckets(df: DataFrame, key: str, out: str, rows: int, rows_per_bucket: int = 2000) -> DataFrame:
     """df with `out`, a long that never falls as the integer `key` rises; null keys come first, in bucket -1.
 
-    256 quantiles of the key (a bounded sketch) bound the buckets; each is cut evenly by value until a
-    bucket holds about `rows_per_bucket`. Equal keys share a bucket, so buckets can be ordered alone.
+    256 quantiles of the key (a bounded sketch) bound the buckets; up to 256 quantiles of each cut it again until a bucket
+    holds about `rows_per_bucket` (beyond 65,536 buckets they grow). Equal keys share a bucket, so buckets can be ordered alone.
     """
     from pyspark.ml.feature import Bucketizer
 
     quantiles = df.select(F.col(key).cast("double").alias(key)).approxQuantile(key, [i / 256 for i in range(257)], 1 / 1024)
     bounds = sorted(set(quantiles))
-    if len(bounds) < 2:
+    if len(bounds) < 3:
         return df.withColumn(out, F.when(F.col(key).isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("long"))
-    parts = max(1, -(-rows // (rows_per_bucket * (len(bounds) - 1))))
-    splits = [float("-inf"), *bounds[1:-1], float("inf")]
-    column = f"__{out}_double"
-    cut = Bucketizer(splits=splits, inputCol=column, outputCol=f"__{out}_at", handleInvalid="keep")
-    with_double = df.withColumn(column, F.coalesce(F.col(key).cast("double"), F.lit(bounds[0])))
-    at = F.col(f"__{out}_at").cast("int")
-    low = F.element_at(F.array(*[F.lit(b) for b in bounds[:-1]]), at + 1)
-    high = F.element_at(F.array(*[F.lit(b) for b in bounds[1:]]), at + 1)
-    within = F.floor((F.col(column) - low) / (high - low) * parts)
-    place = at.cast("long") * parts + F.greatest(F.lit(0), F.least(F.lit(parts - 1), within))
-    bucket = F.when(F.col(key).isNull(), F.lit(-1)).otherwise(place).cast("long")
-    return cut.transform(with_double).withColumn(out, bucket).drop(column, f"__{out}_at")
+    parts = min(256, max(1, -(-rows // (rows_per_bucket * (len(bounds) - 1)))))
+    column, place = f"__{out}_double", f"__{out}_at"
+    cut = Bucketizer(splits=[float("-inf"), *bounds[1:-1], float("inf")], inputCol=column, outputCol=place, handleInvalid="keep")
+    placed = cut.transform(df.withColumn(column, F.coalesce(F.col(key).cast("double"), F.lit(bounds[0])))).withColumn(place, F.col(place).cast("long"))
+    bucket = F.col(place)
+    if parts > 1:
+        inner = placed.groupBy(place).agg(F.percentile_approx(column, [i / parts for i in range(1, parts)], 4096).alias("__cuts"))
+        placed = placed.join(F.broadcast(written(inner, "cuts")), place)  # 256 rows of 255 numbers at most
+        bucket = bucket * parts + F.size(F.filter("__cuts", lambda c: c < F.col(column)))
+    return placed.withColumn(out, F.when(F.col(key).isNull(), F.lit(-1)).otherwise(bucket).cast("long")).select(*df.columns, out)
 
 
 def running_sum(rows: DataFrame, group: list[str], at: str, order: list, value: Column, out: str) -> DataFrame:

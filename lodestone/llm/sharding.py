@@ -24,6 +24,8 @@ ROUNDS = 6
 SHARDS = 16
 SEED = 20_240_611
 ROWS_PER_BUCKET = 1000
+#: Steps of a walk; beyond them the query fails rather than give a wrong place. One step leaves a share of about 1 / sqrt(n).
+MAX_WALK = 64
 
 
 def feistel(x: Column, n: int, seed: int = SEED, rounds: int = ROUNDS) -> Column:
@@ -47,11 +49,12 @@ def factors(n: int) -> tuple[int, int]:
 def permuted(number: Column, n: int, seed: int = SEED) -> Column:
     """The place of a row number: cycle walking. A walk visits each of the a * b - n < a outside places once at most."""
     a, b = factors(n)
-    walk = min(a * b - n, 64)
-    first = F.array(feistel(number, n, seed))
+    walk = min(a * b - n, MAX_WALK)
+    first = feistel(number, n, seed)
     if not walk:
-        return first[0]
-    return F.aggregate(F.sequence(F.lit(1), F.lit(walk)), feistel(number, n, seed), lambda x, _: F.when(x < n, x).otherwise(feistel(x, n, seed)))
+        return first
+    place = F.aggregate(F.sequence(F.lit(1), F.lit(walk)), first, lambda x, _: F.when(x < n, x).otherwise(feistel(x, n, seed)))
+    return F.when(place < n, place).otherwise(F.raise_error(F.lit(f"a row number was still beyond {n} after {walk} steps")).cast("long"))
 
 
 def numbered(rows: DataFrame, key: Column, order: list[Column], out: str, name: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> tuple[DataFrame, int]:

@@ -1,6 +1,7 @@
 """The ten operators on odd inputs (nulls, empty and long texts, repeats, empty tables, clashing columns) and against brute force."""
 
 import hashlib
+import os
 import re
 import zlib
 
@@ -344,7 +345,169 @@ def test_pipeline(spark, sf):
         if name != "tokens":
             assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         assert docs.count() >= before if name == "mixing" else docs.count() <= before
-    assert sorted(map(tuple, corpus_pipeline.run(spark, sf).select("doc_id", "ids").collect())) == sorted(map(tuple, docs.select("doc_id", "ids").collect()))
+    columns = ["doc_id", "ids", "round_trip", "parity"]
+    assert sorted(map(tuple, corpus_pipeline.run(spark, sf).select(*columns).collect())) == sorted(map(tuple, docs.select(*columns).collect()))
+
+
+def test_pipeline_by_hand(spark, sf):
+    """Every stage's result, as plain loops over the stage's input give it."""
+    from sentencepiece import SentencePieceProcessor
+
+    sf = os.path.join(os.path.dirname(sf), "sf0.01")  # the smaller tables have no document that is toxic beyond doubt
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    schema, stages = docs.schema, dict(corpus_pipeline.STAGES)
+    rows = [tuple(r) for r in docs.collect()]
+
+    def staged(name):
+        got = [tuple(r) for r in stages[name](spark, spark.createDataFrame(rows, schema), sf).collect()]
+        return got
+
+    model = toxicity.fit(docs, labels)
+    want = [r for r in rows if score_by_hand(model, r[1] or "") < 0.5]
+    assert sorted(staged("toxicity")) == sorted(want) and len(want) < len(rows)
+    rows, least = want, {}
+    for r in rows:
+        key = re.sub(r"[\x20\x09-\x0d]+", " ", r[1])
+        least[key] = min(least.get(key, r), r)
+    want = list(least.values())
+    assert sorted(staged("exact_dedup")) == sorted(want) and len(want) < len(rows)
+    rows = sorted(want)
+    want = [rows[i] for i, r in enumerate(all_pairs([r[1] for r in rows])) if r == i]
+    assert sorted(staged("near_dedup")) == want and len(want) < len(rows)
+    rows = want
+    alpha = mixing.plan(spark.createDataFrame(rows, schema), repetition=corpus_pipeline.MIX_REPETITION).first()["alpha"]
+    copies, _ = mixed_by_hand([(r[0], r[3], r[1]) for r in rows], alpha, corpus_pipeline.MIX_REPETITION, mixing.BLOCK_TOKENS)
+    by = {r[0]: r for r in rows}
+    want = [by[i] for _, _, i in sorted((block, slot, i) for i, _, _, block, slot in copies)]
+    assert staged("mixing") == want
+    rows, peer = want, SentencePieceProcessor(model_file=pieces.MODEL_PATH)
+    assert sorted(staged("tokens")) == sorted((r[0], peer.encode(r[1]), peer.decode(peer.encode(r[1])) == r[1], True) for r in rows)
+
+
+def test_pipeline_on_odd_rows(spark, odd, tmp_path):
+    """Nulls in any column, empty and very long texts, ties and repeated rows, clashing names, empty tables."""
+    docs = odd.withColumn("block", F.lit(None).cast("string")).withColumn("_row", F.lit("x")).withColumn("score", F.lit(0.5)).withColumn("tie", F.lit(1))
+    labels = spark.createDataFrame([(1, 0, 0), (2, None, None), (None, 1, 1), (9, 1, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    labels.filter("false").write.parquet(f"{tmp_path}/none/labels.parquet")
+    for table, folder in ((docs, tmp_path), (docs, tmp_path / "none"), (docs.filter("false"), tmp_path)):
+        kept = table
+        for name, stage in corpus_pipeline.STAGES:
+            kept = stage(spark, kept, str(folder))
+            assert name == "tokens" or kept.columns == table.columns
+        rows = kept.collect()
+        assert len(rows) == 0 if table is not docs else {r["doc_id"] for r in rows} == {1, 3, 5, 7, 8, 9}
+        assert all(r["parity"] and r["round_trip"] for r in rows)
+
+
+def score_by_hand(model, text):
+    """The score of one text: the trees walked node by node, the calibration by plain interpolation."""
+    import math
+
+    if model.trees is None:
+        return model.share
+    x = toxicity.features(text, model.lexicon)
+    margin = model.trees.start
+    for feature, cut, left, right, value in model.trees.trees:
+        at = 0
+        while feature[at] >= 0:
+            below = sum(c < x[feature[at]] for c in model.trees.cuts[feature[at]])  # bins by their upper cuts
+            at = left[at] if below <= cut[at] else right[at]
+        margin += value[at]
+    p = 1 / (1 + math.exp(-margin))
+    level = p
+    if model.knots:
+        xs, ys = model.knots
+        level = ys[0] if margin <= xs[0] else ys[-1]
+        for i in range(1, len(xs)):
+            if xs[i - 1] < margin <= xs[i]:
+                level = ys[i - 1] + (ys[i] - ys[i - 1]) * (margin - xs[i - 1]) / (xs[i] - xs[i - 1])
+                break
+    return min(1.0, max(0.0, 0.98 * level + 0.02 * p))
+
+
+def test_toxicity_scores_by_hand(spark, sf):
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    got = {r["doc_id"]: (r["score"], r["predicted"]) for r in toxicity.score(docs, model).collect()}
+    for r in docs.collect():
+        want = score_by_hand(model, r["text"] or "")
+        assert abs(got[r["doc_id"]][0] - want) < 1e-9 and got[r["doc_id"]][1] == int(got[r["doc_id"]][0] >= 0.5)
+    ties = toxicity.Model({}, None, None, 0.5)  # exactly one half counts as toxic, for scores and for the filter
+    assert {r["predicted"] for r in toxicity.score(docs.limit(3), ties).collect()} == {1} and toxicity.reject(docs, ties).count() == 0
+    long = spark.createDataFrame([(1, "you idiot " * 200_000), (2, None), (2, ""), (None, "x")], "doc_id long, text string")
+    assert all(0 <= r["score"] <= 1 for r in toxicity.score(long, model).collect())
+
+
+def test_trees_split_where_the_gain_is_largest():
+    import numpy as np
+
+    random = np.random.default_rng(5)
+    x = np.round(random.normal(size=(80, 3)), 1)
+    y = (x[:, 1] + 0.3 * random.normal(size=80) > 0.2).astype(float)
+    trees = toxicity.Trees(rounds=3, depth=2).fit(x, y)
+    margin = np.full(80, trees.start)
+    for feature, cut, left, right, value in trees.trees:
+        p = 1 / (1 + np.exp(-margin))
+        g, h = y - p, p * (1 - p)
+
+        def grown(rows, node, depth):
+            total_g, total_h = sum(g[r] for r in rows), sum(h[r] for r in rows)
+            assert abs(value[node] - trees.rate * total_g / (total_h + trees.l2)) < 1e-9
+            gains = {}
+            for j in range(3):
+                for k, c in enumerate(trees.cuts[j]):
+                    low = [r for r in rows if x[r, j] <= c]
+                    if trees.least <= len(low) <= len(rows) - trees.least:
+                        a, b = sum(g[r] for r in low), sum(h[r] for r in low)
+                        gains[j, k] = a**2 / (b + trees.l2) + (total_g - a) ** 2 / (total_h - b + trees.l2) - total_g**2 / (total_h + trees.l2)
+            if feature[node] < 0:
+                assert depth == trees.depth or len(rows) < 2 * trees.least or max(gains.values(), default=0) <= 1e-6
+                for r in rows:
+                    margin[r] += value[node]
+                return
+            assert abs(gains[feature[node], cut[node]] - max(gains.values())) < 1e-9
+            at = trees.cuts[feature[node]][cut[node]]
+            grown([r for r in rows if x[r, feature[node]] <= at], left[node], depth + 1)
+            grown([r for r in rows if x[r, feature[node]] > at], right[node], depth + 1)
+
+        grown(range(80), 0, 0)
+    assert np.allclose(margin, trees.margins(x))
+
+
+def test_isotonic_against_the_minimax_formula():
+    import numpy as np
+
+    random = np.random.default_rng(3)
+    x = random.permutation(60).astype(float)
+    y = (x + 25 * random.normal(size=60) > 30).astype(float)
+    xs, ys = toxicity.isotonic(x, y)
+    o = np.argsort(x)
+    means = [max(min(y[o][j : k + 1].mean() for k in range(i, 60)) for j in range(i + 1)) for i in range(60)]
+    want_x, want_y = [], []
+    for level in sorted(set(round(m, 12) for m in means)):
+        inside = [i for i, m in enumerate(means) if abs(m - level) < 1e-9]
+        want_x += [x[o][inside[0]], x[o][inside[-1]]]
+        want_y += [(level * len(inside) + 0.05) / (len(inside) + 0.5)] * 2
+    # the counts of a block pull its level towards the middle, never past the one before
+    assert np.allclose(xs, want_x) and np.allclose(ys, np.maximum.accumulate(want_y))
+
+
+def test_features_by_hand(spark, sf):
+    lexicon = {"that": 3.0, "ininin": 1.5, "theco*": 2.0}
+    for r in spark.read.parquet(f"{sf}/documents.parquet").limit(60).collect():
+        text = (r["text"] or "") + " You ID1OT! st*pid"
+        got = dict(zip(toxicity.FEATURES, toxicity.features(text, lexicon), strict=True))
+        words = re.findall(r"[^\W\d_]+", text.lower())
+        raw = text.encode()
+        count = lambda chars: sum(b in chars for b in raw)
+        upper, lower = count(range(65, 91)), count(range(97, 123))
+        assert abs(got["fixed_density"] - sum(w in toxicity.INSULTS for w in words) / len(words)) < 1e-12
+        assert abs(got["learned_density"] - sum(lexicon.get(w, 0) for w in words) / len(words)) < 1e-12
+        assert abs(got["prefix_density"] - sum(lexicon.get(w[:5] + "*", 0) for w in words if len(w) > 5) / len(words)) < 1e-12
+        assert abs(got["second_density"] - sum(w in toxicity.SECOND for w in words) / len(words)) < 1e-12
+        assert (got["capitals"], got["shouts"], got["digits"]) == (upper / max(1, upper + lower), count(b"!?") / len(raw), count(b"0123456789") / len(raw))
+        assert got["mixed_hits"] >= __import__("math").log1p(1)  # ID1OT, undone
 
 
 def test_repeated_ids_with_other_texts_keep_their_links(spark):
@@ -365,7 +528,7 @@ def all_pairs(rows):
     root = list(range(len(rows)))
     for i in range(len(rows)):
         for j in range(i):
-            if sets[i] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+            if sets[i] and 100 * min(len(sets[i]), len(sets[j])) >= 75 * max(len(sets[i]), len(sets[j])) and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
                 a, b = sorted((root[i], root[j]))
                 root = [a if r == b else r for r in root]
     return root
@@ -607,3 +770,158 @@ def test_pages_of_large_hosts_are_dealt(spark, monkeypatch):
     monkeypatch.setattr(pages, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(pages, "PAGES_PER_PART", 10)
     assert sorted(map(tuple, pages.extract(df).collect())) == one and one[3][2] == "Text 3"
+
+
+def xx(seed, *values):
+    """Spark's xxhash64 over long and string values, from the seed on."""
+    import xxhash
+
+    for v in values:
+        if v is not None:
+            data = v.encode() if isinstance(v, str) else v[0].to_bytes(4, "little", signed=True) if isinstance(v, tuple) else v.to_bytes(8, "little", signed=True)
+            seed = xxhash.xxh64_intdigest(data, seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def mixed_by_hand(rows, alpha, repetition, block_tokens):
+    """(doc_id, source, epoch, block, slot) of every copy, and the weights, with sorted lists; rows: (doc_id, source, text)."""
+    counted = [(i, s or "", max(1, len(re.findall(r"[^\x20\x09-\x0d]+", t or "")))) for i, s, t in rows]
+    total = sum(n for _, _, n in counted)
+    of = {s: sum(n for _, q, n in counted if q == s) for _, s, _ in counted}
+    shares = {s: t / total for s, t in of.items()}
+    assert abs(alpha - max(0.0, 1 - __import__("math").log(repetition) / __import__("math").log(max(shares.values()) / min(shares.values())))) < 1e-6
+    z = sum(x**alpha for x in shares.values())
+    epochs = {s: x ** (alpha - 1) for s, x in shares.items()}
+    least = min(epochs.values())
+    blocks = max(1, round(total * z / least / block_tokens))
+    out, filled = [], {}
+    for source in of:
+        before, times = 0, epochs[source] / least
+        full = int(times + 1e-9)
+        for key, i, n in sorted((xx(42, i, source, (mixing.SEED,)), i, n) for i, s, n in counted if s == source):
+            for epoch in range(full + (before + n <= (times - full) * of[source])):
+                block = min(blocks - 1, int((epoch * of[source] + before) / (times * of[source]) * blocks))
+                filled.setdefault(block, []).append((xx(42, key, (epoch,), (mixing.SEED,)), i, epoch, source))
+            before += n
+    for block, some in filled.items():
+        out += [(i, source, epoch, block, slot) for slot, (_, i, epoch, source) in enumerate(sorted(some))]
+    return sorted(out), {s: x**alpha / z for s, x in shares.items()}
+
+
+def test_mixing_against_sorted_lists(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [(r["doc_id"], r["source"], r["text"]) for r in docs.collect()]
+    for block_tokens in (mixing.BLOCK_TOKENS, 5_000):
+        got = mixing.plan(docs, block_tokens=block_tokens).collect()
+        want, weights = mixed_by_hand(rows, got[0]["alpha"], mixing.REPETITION, block_tokens)
+        assert sorted((r["doc_id"], r["source"], r["epoch"], r["block"], r["slot"]) for r in got) == want
+        assert all(abs(weights[r["source"]] - r["weight"]) < 1e-9 for r in got)
+    place = {(b, s): i for i, _, _, b, s in want}
+    mixed = [r["doc_id"] for r in mixing.mix(docs, block_tokens=5_000).collect()]
+    assert mixed == [place[k] for k in sorted(place)]  # in the order of block and slot
+    tokens = {i: max(1, len((t or "").split())) for i, _, t in rows}
+    for block in {b for b, _ in place} if len({b for b, _ in place}) > 3 else ():
+        inside = [(s, tokens[i]) for i, s, _, b, _ in want if b == block]
+        for source, weight in weights.items():  # every block has the weights, but for a document at either end
+            part = sum(n for s, n in inside if s == source)
+            largest = max(tokens[i] for i, s, _ in rows if s == source)
+            assert abs(part - weight * 5_000) <= 2 * largest + 500
+
+
+def test_mixing_repeats_rows_and_not_ids(spark):
+    rows = [(1, "a b c", "big", "x")] * 3 + [(1, "other text", "big", "x"), (1, "a b c", "big", None), (None, "a b c", "small", "y"), (None, None, "small", "y"), (2, "w " * 40, "big", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, slot string")
+    planned = mixing.plan(docs, repetition=1.0).collect()
+    assert len(planned) == len(rows) and sorted(map(repr, mixing.mix(docs, repetition=1.0).collect())) == sorted(map(repr, docs.collect()))
+    planned, mixed = mixing.plan(docs, repetition=4.0).count(), mixing.mix(docs, repetition=4.0).collect()
+    assert planned == len(mixed) > len(rows) and {repr(r) for r in mixed} == {repr(r) for r in docs.collect()}
+
+
+def test_shards_against_plain_permutation(spark, sf):
+    """Numbers by bucket, hash and doc_id, the Feistel network and its walk, in plain Python."""
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    n = len(docs)
+    buckets = 1 << max(0, (-(-n // sharding.ROWS_PER_BUCKET) - 1).bit_length())
+    order = sorted((xx(42, i) % buckets, xx(42, i), i) for i, _ in docs)
+    a, b = sharding.factors(n)
+
+    def passed(x):
+        left, right = divmod(x, b)
+        for i in range(sharding.ROUNDS):
+            if i % 2 == 0:
+                left = (left + xx(42, right, (i,), (sharding.SEED,)) % a) % a
+            else:
+                right = (right + xx(42, left, (i,), (sharding.SEED,)) % b) % b
+        return left * b + right
+
+    want, text = {}, dict(docs)
+    for number, (_, _, i) in enumerate(order):
+        place = passed(number)
+        while place >= n:
+            place = passed(place)
+        size, crc = len(text[i].encode()) + 1, zlib.crc32(text[i].encode())
+        want[i] = (size, crc, "rows", place % sharding.SHARDS, place // sharding.SHARDS, None)
+    got = {r["doc_id"]: (r["size"], r["text_crc32"], r["law"], r["shard"], r["slot"], r["grown_shard"]) for r in sharding.op6_sharding(spark, sf).collect()}
+    assert got == want
+
+
+def fingerprint_by_hand(text):
+    parts = [p for p in re.split(r"\n+|(?<=[.!?])[ \t]+", text or "") if p]
+    words = [0] * 61
+    for p in parts:
+        words[0] += 1
+        for i in range(3):
+            h = xx(42, p, (i,)) % (1 << 64)
+            h -= (1 << 64) if h >> 63 else 0
+            for j in range(20):
+                words[1 + 20 * i + j] = (words[1 + 20 * i + j] + ((h >> j) & multiset.ONES)) & multiset.MASK
+    return words
+
+
+def likeness_by_hand(a, b):
+    import math
+
+    def inner(x, y):
+        field = lambda w, k: 2.0 * ((w >> (20 * k)) & ((1 << 20) - 1))
+        return math.fsum((field(v, k) - x[0]) * (field(w, k) - y[0]) for v, w in zip(x[1:], y[1:], strict=True) for k in range(3))
+
+    if a == b:
+        return 1.0
+    if not a[0] or not b[0]:
+        return 0.0
+    ab = inner(a, b)
+    return min(1.0, max(0.0, ab / (inner(a, a) + inner(b, b) - ab)))
+
+
+def test_fingerprints_against_plain_sums(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()
+    texts = [r["text"] or "" for r in docs]
+    by = {r["doc_id"]: r for r in multiset.op8_fingerprints(spark, sf).collect()}
+    for i, r in enumerate(docs):
+        after, cut = texts[(i + 1) % len(docs)], len(texts[i]) // 4
+        own, edited, following = (fingerprint_by_hand(t) for t in (texts[i], texts[i][: len(texts[i]) - cut] + after[:cut], after))
+        got = by[r["doc_id"]]
+        assert (got["n_chars"], got["fingerprint"], got["edited_fingerprint"]) == (len(texts[i]), *("".join(f"{w:015x}" for w in x) for x in (own, edited)))
+        assert abs(got["near_edited"] - likeness_by_hand(own, edited)) < 1e-9 and abs(got["near_next"] - likeness_by_hand(own, following)) < 1e-9
+
+
+def test_next_documents_of_repeated_ids_go_by_a_hash(spark):
+    rows = [(1, "a"), (1, "b"), (None, "n"), (2, "c"), (2, "c")]
+    got = [(r["doc_id"], r["text"], r["next_text"]) for r in multiset.with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, xx(42, r[1])))
+    assert sorted(map(repr, got)) == sorted(repr((*r, order[(i + 1) % 5][1])) for i, r in enumerate(order))
+
+
+def test_buckets_follow_clustered_keys(spark):
+    from lodestone.llm._shared import quantile_buckets
+
+    keys = [i if i % 5 else 10**12 + i for i in range(20_000)] + [None] * 3 + [7] * 50
+    got = quantile_buckets(spark.createDataFrame([(k,) for k in keys], "k long"), "k", "b", len(keys), 20).collect()
+    assert all(r["b"] == -1 for r in got if r["k"] is None) and len(got) == len(keys)
+    places = sorted((r["k"], r["b"]) for r in got if r["k"] is not None)
+    assert all(x[1] <= y[1] for x, y in zip(places, places[1:], strict=False)) and len({b for k, b in places if k == 7}) == 1
+    from collections import Counter
+
+    assert max(Counter(b for _, b in places).values()) < 150
+    few = spark.createDataFrame([(1,), (2,), (1,)], "k long")
+    assert {r["b"] for r in quantile_buckets(few, "k", "b", 3).collect()} == {0}
