@@ -1,8 +1,15 @@
 """From documents to token ids in five stages; each is written as Parquet and read again as the next one's documents.
 
 Toxic documents go; of equal texts one stays; of each group of near copies one stays; sources are mixed to tempered
-weights (none loses a document, small ones repeat some, at most MIX_REPETITION times); texts become token ids. Every
-stage works on all rows of the one before; all but the last return the columns of documents.
+weights (none loses a document, small ones repeat some, at most MIX_REPETITION times) and written in the order of the
+mixture's blocks; texts become token ids, with the parity of every row. Every stage works on all rows of the one before;
+all but the last return the columns of documents.
+
+Defined cases, as the operators have them: null and empty texts are not toxic by themselves, are one text to exact_dedup
+(the row of the smallest doc_id stays) and encode to no ids; rows without a doc_id stay unless their text has a row with
+one; repeated rows are one row after exact_dedup; rows of one doc_id with different texts all go on; long texts are worked on
+whole; an empty table gives an empty result; further columns of documents, whatever their names, pass through all stages but
+the last.
 """
 
 from __future__ import annotations
@@ -12,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestone.llm import exact_dedup, mixing, near_dedup, pieces, toxicity
-from lodestone.llm._shared import read, written
+from lodestone.llm._shared import discard_since, mark, read, written
 
 MIX_REPETITION = 1.25
 
@@ -38,8 +45,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: doc_id, ids, and whether decoding gives the text back."""
-    return pieces.encode(docs, parity=False).drop("parity")
+    """Operator 3: doc_id, ids, whether decoding gives the text back, and whether sentencepiece gives the same ids."""
+    return pieces.encode(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -55,7 +62,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    """The last stage's result. A stage's own tables, and what it read, are deleted once its result is written."""
+    docs, before = read(spark, sf_dir, "documents"), mark()
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard_since(spark, before, docs)
     return docs
