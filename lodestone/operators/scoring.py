@@ -53,3 +53,10 @@ def phases(rows: DataFrame, group: str, quota: dict[str, int], total: int, *orde
     limit = reduce(lambda c, kv: c.when(F.col(group) == kv[0], kv[1]), quota.items(), F.when(F.lit(False), 0)).otherwise(0)
     ranked = rows.withColumn("_r", F.row_number().over(Window.partitionBy(group).orderBy(*order))).withColumn("phase", F.when(F.col("_r") <= limit, 1).otherwise(2))
     return ranked.orderBy("phase", *order).limit(total).drop("_r")
+
+
+def pushed(name: Column, relevance: Column, needs: Column, done: Column) -> Column:
+    """K6: array of (act, rel) that an executed action pushes: its prerequisite at +0.002 and itself again at +0.001 where it
+    needs one; what comes after it where it is done; else its alternative at +0.003."""
+    one = lambda prefix, more: F.struct(F.concat(F.lit(prefix), name).alias("act"), (relevance + more).alias("rel"))
+    return F.when(needs, F.array(one("before ", 0.002), one("", 0.001))).when(done, F.array(one("after ", 0.0))).otherwise(F.array(one("else ", 0.003)))
