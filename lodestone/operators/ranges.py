@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,7 +18,19 @@ def binned_range_join(points: DataFrame, brackets: DataFrame, at: str, low: str,
     return left.join(right, "_bin").filter(F.col(at).between(F.col(low), F.col(high))).drop("_bin")
 
 
-def histogram(rows: DataFrame, level: str, top: int, parts: int = 8) -> DataFrame:
-    """Counts per step of max(1, (top + 4) div parts); empty steps are left out."""
-    step = max(1, (top + 4) // parts)
-    return rows.groupBy((F.floor(F.col(level) / step) * step).cast("int").alias("low")).agg(F.count(F.lit(1)).alias("n"))
+def histogram(rows: DataFrame, level: str, sides: dict[str, Column], parts: int = 8) -> DataFrame:
+    """Low, high and a count for each side, per step of max(1, (top + 4) div parts) levels from 1 up to the largest, top.
+    A step ends where level + 1 is a multiple of its width, or at the top; empty steps are left out."""
+    top = F.broadcast(rows.agg(F.max(level).alias("_top")))
+    stepped = rows.crossJoin(top).filter(F.col(level) >= 1).withColumn("_step", F.greatest(F.lit(1), F.floor((F.col("_top") + 4) / parts)))
+    at = stepped.withColumn("_at", F.floor(F.col(level) / F.col("_step")) * F.col("_step"))
+    counted = at.groupBy("_at", "_step", "_top").agg(*[F.count_if(c).alias(name) for name, c in sides.items()])
+    return counted.select(F.greatest(F.lit(1), "_at").cast("int").alias("low"), F.least(F.col("_top"), F.col("_at") + F.col("_step") - 1).cast("int").alias("high"), *sides)
+
+
+def windowed_levels(rows: DataFrame, required: str, levels: DataFrame, level: str, window: int = 13) -> DataFrame:
+    """rows and the levels that may use them: required <= level, and from level window + 1 on not more than `window` below.
+    An equi join: low levels take all below them, higher ones look at window + 1 levels."""
+    low = F.when(F.col(level) > window, F.col(level) - window).otherwise(0)
+    asked = levels.select(level, F.explode(F.sequence(low, F.col(level))).alias("_req"))
+    return rows.join(asked, F.col(required) == F.col("_req")).drop("_req")

@@ -25,9 +25,9 @@ def keep_max_of_group(rows: DataFrame, subject: str, group: Sequence[str], key:
     if not on_subject_only:
         best = rows.groupBy(*by).agg(F.max(key).alias(key))
         return rows.join(best, [*by, key], "left_semi")
-    tops = rows.groupBy(subject, *group).agg(F.max(key).alias("_top"))
-    bad = rows.join(tops.select(subject, "_top"), subject).filter(F.col(key) != F.col("_top")).select(key).distinct()
-    return rows.join(bad, key, "left_anti")
+    tops = rows.groupBy(subject, *group).agg(F.max(key).alias("_top")).groupBy(subject).agg(F.min("_top").alias("_lo"), F.max("_top").alias("_hi"))
+    other = (F.col("_lo") != F.col("_hi")) | (F.col(key) != F.col("_lo"))  # some group's largest key is another one
+    return rows.join(rows.join(tops, subject).filter(other).select(key).distinct(), key, "left_anti")
 
 
 def latest(rows: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
@@ -56,10 +56,11 @@ def asof_floor(requests: DataFrame, levels: DataFrame, by: Sequence[str], at: st
 
     Levels are looked up by an equi join on the exploded window of integer levels when it is narrow, so no range join.
     """
-    window = requests.withColumn("_level", F.explode(F.sequence(F.col(at) - tolerance, F.col(at))))
+    mine = requests.withColumn("_row", F.monotonically_increasing_id())
+    window = mine.withColumn("_level", F.explode(F.sequence(F.col(at) - tolerance, F.col(at))))
     hit = window.join(levels.select(*by, F.col(level).alias("_level"), value), [*by, "_level"])
-    best = hit.groupBy(*requests.columns).agg(F.max_by(value, "_level").alias(value), F.max("_level").alias("found_level"))
-    return best
+    best = hit.groupBy("_row").agg(F.max_by(F.struct(*requests.columns, value), "_level").alias("_b"), F.max("_level").alias("found_level"))
+    return best.select("_b.*", "found_level")
 
 
 def insert_ignore(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -92,3 +93,9 @@ def coalesced_patch(table: DataFrame, patch: DataFrame, key: str, column: str) -
 def either_way(links: DataFrame, a: str, b: str) -> DataFrame:
     """An edge table read in both directions."""
     return links.select(F.col(a).alias("one"), F.col(b).alias("other")).unionByName(links.select(F.col(b).alias("one"), F.col(a).alias("other"))).distinct()
+
+
+def with_columns(df: DataFrame, columns: dict[str, tuple[str, object]]) -> DataFrame:
+    """M9: df with those of the columns (name: type and default) that it has not yet; those it has stay as they are."""
+    have = {c.lower() for c in df.columns}
+    return df.withColumns({c: F.lit(default).cast(kind) for c, (kind, default) in columns.items() if c.lower() not in have})

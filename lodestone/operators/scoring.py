@@ -43,16 +43,21 @@ def all_of(conditions: list[Column]) -> Column:
     return reduce(and_, conditions)
 
 
-def weighted_order(weight: Column, seed: int) -> Column:
-    """Sort key of a weighted shuffle without replacement (Efraimidis and Spirakis)."""
-    return -F.log(F.rand(seed)) / weight
+def weighted_order(weight: Column, key: Column, seed: int) -> Column:
+    """Sort key of a weighted shuffle without replacement (Efraimidis and Spirakis); the rolls are hashes of the key."""
+    roll = (F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"))), 1, 8), 16, 10).cast("double") + 1) / 4294967297.0
+    return -F.log(roll) / weight
 
 
-def phases(rows: DataFrame, group: str, quota: dict[str, int], total: int, *order: Column) -> DataFrame:
-    """Up to quota of each group first, then others up to the total, by order."""
-    limit = reduce(lambda c, kv: c.when(F.col(group) == kv[0], kv[1]), quota.items(), F.when(F.lit(False), 0)).otherwise(0)
-    ranked = rows.withColumn("_r", F.row_number().over(Window.partitionBy(group).orderBy(*order))).withColumn("phase", F.when(F.col("_r") <= limit, 1).otherwise(2))
-    return ranked.orderBy("phase", *order).limit(total).drop("_r")
+def phases(rows: DataFrame, key: str, group: str, quota: int, more: tuple[object, int], total: int, *order: Column) -> DataFrame:
+    """The first `quota` of each group, then so many more of one group, then the best others up to the total; with `phase`.
+    Ranks beyond what can be chosen are cut before rows are shuffled, and only top rows are ever ordered together."""
+    name, extra = more
+    deep = quota + extra
+    ranked = rows.withColumn("_r", F.row_number().over(Window.partitionBy(group).orderBy(*order))).filter(F.col("_r") <= deep)
+    first = ranked.filter((F.col("_r") <= quota) | (F.col(group).eqNullSafe(F.lit(name)))).withColumn("phase", F.when(F.col("_r") <= quota, 1).otherwise(2)).drop("_r")
+    rest = rows.join(first.select(key), key, "left_anti").orderBy(*order).limit(total).withColumn("phase", F.lit(3)).select(*first.columns)
+    return first.unionByName(rest).orderBy("phase", *order).limit(total)
 
 
 def pushed(name: Column, relevance: Column, needs: Column, done: Column) -> Column:
@@ -60,3 +65,18 @@ def pushed(name: Column, relevance: Column, needs: Column, done: Column) -> Colu
     needs one; what comes after it where it is done; else its alternative at +0.003."""
     one = lambda prefix, more: F.struct(F.concat(F.lit(prefix), name).alias("act"), (relevance + more).alias("rel"))
     return F.when(needs, F.array(one("before ", 0.002), one("", 0.001))).when(done, F.array(one("after ", 0.0))).otherwise(F.array(one("else ", 0.003)))
+
+
+def first_match(cases: list[tuple[Column, str, str]], otherwise: tuple[str, str]) -> Column:
+    """struct(level, reason) of the first condition that holds."""
+    out = None
+    for condition, level, reason in cases:
+        value = F.struct(F.lit(level).alias("level"), F.lit(reason).alias("reason"))
+        out = F.when(condition, value) if out is None else out.when(condition, value)
+    return out.otherwise(F.struct(F.lit(otherwise[0]).alias("level"), F.lit(otherwise[1]).alias("reason")))
+
+
+def weighted(rows: DataFrame, key: str, kind: str, stats: list[str], weights: DataFrame) -> DataFrame:
+    """Per key the sum of its stats times the weights (kind, stat, weight) of its kind; a stat without a weight counts 0."""
+    long = rows.select(key, kind, F.explode(F.array(*[F.struct(F.lit(c).alias("stat"), F.col(c).alias("v")) for c in stats])).alias("x")).select(key, kind, "x.stat", "x.v")
+    return long.join(weights, [kind, "stat"], "left").groupBy(key).agg(F.coalesce(F.sum(F.col("v") * F.col("weight")), F.lit(0.0)).alias("score"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -24,6 +25,29 @@ def cell(column: str, size: float) -> Column:
     return F.floor(F.col(column) / size).cast("int")
 
 
+def grid_id(column: Column, centre: float, size: float) -> Column:
+    """int(centre - x / size)."""
+    return F.floor(F.lit(centre) - column / size).cast("int")
+
+
+def grid_corner(grid: Column, centre: float, size: float) -> Column:
+    """X24, the way back: (centre - grid) * size."""
+    return (F.lit(centre) - grid) * size
+
+
+def angle(dx: Column, dy: Column) -> Column:
+    """The direction of (dx, dy), normalised to 0 up to 2 pi."""
+    turn = F.atan2(dy, dx)
+    return F.when(turn < 0, turn + 2 * F.pi()).otherwise(turn)
+
+
+def weighted_pick(points: DataFrame, by: Sequence[str], key: str, weight: Column, seed: int) -> DataFrame:
+    """One point of each group, by chance in proportion to its weight. The roll is a hash of the key, so repeated
+    runs agree; the smallest -ln(roll) / weight wins, which is an aggregate: no group is ordered."""
+    roll = (F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), 1, 8), 16, 10).cast("double") + 1) / 4294967297.0
+    return points.withColumn("_r", -F.log(roll) / weight).groupBy(*by).agg(F.min_by(key, F.struct("_r", key)).alias("picked"))
+
+
 def within(points: DataFrame, key: str, group: str, radius: float, axes: Sequence[str] = XYZ) -> DataFrame:
     """Pairs (a, b, d2) of different points of a group within the radius.
 
@@ -38,15 +62,42 @@ def within(points: DataFrame, key: str, group: str, radius: float, axes: Sequenc
 
 
 def nearest(queries: DataFrame, points: DataFrame, query: str, key: str, group: str, k: int, axes: Sequence[str] = XYZ) -> DataFrame:
-    """The k nearest points of the group to each query, by exact distance, ties by key.
+    """The k nearest other points of the group to each query, by exact distance, ties by key.
 
-    For groups of bounded size; the join is by group and the ranking is a window with a group limit.
+    Queries meet the points of their own and the neighbouring cells of a grid that holds about k points a cell. A query is
+    done once its k-th point is nearer than a cell is wide; the others go on with cells twice as wide, at last with one
+    that holds a whole group. Dense groups never meet as a whole.
     """
-    left = queries.select(F.col(query).alias("a"), F.col(group).alias("g"), *[F.col(c).alias(f"a{c}") for c in axes])
-    right = points.select(F.col(key).alias("b"), F.col(group).alias("g"), *[F.col(c).alias(f"b{c}") for c in axes])
-    pairs = left.join(right, "g").filter(F.col("a") != F.col("b")).withColumn("d2", F.round(squared("a", "b", axes), 6))
+    left = checkpointed(queries.select(F.col(query).alias("a"), F.col(group).alias("g"), *[F.col(c).alias(f"a{c}") for c in axes]))
+    right = checkpointed(points.select(F.col(key).alias("b"), F.col(group).alias("g"), *[F.col(c).alias(f"b{c}") for c in axes]))
+    spans = right.agg(*[F.struct(F.min(f"b{c}").alias("lo"), F.max(f"b{c}").alias("hi")).alias(c) for c in axes]).first()
+    asked = left.agg(*[F.struct(F.min(f"a{c}").alias("lo"), F.max(f"a{c}").alias("hi")).alias(c) for c in axes]).first()
+    if spans[0]["lo"] is None or asked[0]["lo"] is None:
+        extent = 0.0
+    else:
+        extent = max(max(spans[c]["hi"], asked[c]["hi"]) - min(spans[c]["lo"], asked[c]["lo"]) for c in axes)
+    most = right.groupBy("g").count().agg(F.max("count")).first()[0] or 0
+    size = max(extent / max(1.0, (most / k) ** (1 / len(axes))), 1e-9)
     rank = F.row_number().over(Window.partitionBy("a").orderBy("d2", "b"))
-    return pairs.withColumn("rank", rank).filter(F.col("rank") <= k).select("a", "b", "d2", "rank")
+    done = []
+    while True:
+        last = size > extent
+        mine, theirs = left, right
+        for c in axes:
+            mine = mine.withColumn(f"c{c}", F.explode(F.array(*[cell(f"a{c}", size) + i for i in (-1, 0, 1)])))
+            theirs = theirs.withColumn(f"c{c}", cell(f"b{c}", size))
+        pairs = mine.join(theirs, ["g", *[f"c{c}" for c in axes]]).filter(F.col("a") != F.col("b")).withColumn("d2", F.round(squared("a", "b", axes), 6))
+        ranked = checkpointed(pairs.withColumn("rank", rank).filter(F.col("rank") <= k).select("a", "b", "d2", "rank"))
+        if last:
+            done.append(ranked)
+            break
+        full = ranked.filter((F.col("rank") == k) & (F.col("d2") + 1e-6 < size * size)).select("a")
+        done.append(ranked.join(full, "a", "left_semi"))
+        left = checkpointed(left.join(full, "a", "left_anti"))
+        if left.isEmpty():
+            break
+        size *= 2
+    return reduce(DataFrame.unionByName, done)
 
 
 def centroid(points: DataFrame, by: Sequence[str], axes: Sequence[str] = XYZ) -> DataFrame:

@@ -1,7 +1,7 @@
 """The named queries over the driver's tables, each with the SQL that gives the same rows.
 
 Positions are the first three dimensions of an embedding with its label as map; the graph is the flow of volume from
-supplier nations to customer nations, the two largest flows of each source; queries named _whole take all flows.
+supplier nations to customer nations.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions import text as X
-from lodestone.operators import graph, ranges, relational, scoring, spatial
+from lodestone.operators import folds, graph, ranges, relational, scoring, sequences, spatial
 from lodestone.session import checkpointed
 from lodestone.sources.tables import load_values, save_values, table
 from lodestone.streaming import replay
@@ -84,7 +84,7 @@ g AS (SELECT *, greatest(0, 100 - sum(chance) OVER w) AS rest, count(*) FILTER (
 v AS (SELECT l_partkey, kind, avg(CASE WHEN chance = 0 THEN rest / zero ELSE chance END) AS rarity FROM g GROUP BY ALL)
 SELECT l_partkey, round(max(rarity), 4) AS rarity FROM v GROUP BY l_partkey HAVING max(rarity) > 0.01""")
 def rarity_residual_max(s: SparkSession, d: str) -> DataFrame:
-    """An unset chance is an equal part of what its group leaves of 100; the mean per kind, the largest mean per part."""
+    """An unset chance is an equal part of what its group leaves of 100; the mean per kind, the largest mean per part."""
     kind = F.col("l_returnflag").alias("kind")
     lines = table(s, d, "lineitem").select("l_partkey", (F.col("l_suppkey") % 7).alias("grp"), kind, F.when(F.col("l_linenumber") % 3 == 0, 0.0).otherwise(F.col("l_discount") * 100).alias("chance"))
     w = Window.partitionBy("l_partkey", "kind", "grp")
@@ -192,25 +192,28 @@ UNION ALL SELECT 'segment', c_mktsegment, count(*), round(sum(c_acctbal), 2) FRO
 UNION ALL SELECT 'sign', CASE WHEN c_acctbal < 0 THEN 'debt' ELSE 'credit' END, count(*), round(sum(c_acctbal), 2) FROM customer GROUP BY 2""")
 def population_report(s: SparkSession, d: str) -> DataFrame:
     """One pass, three groupings."""
-    rows = table(s, d, "customer").join(F.broadcast(table(s, d, "nation").filter("n_nationkey < 1000")), F.col("n_nationkey") == F.col("c_nationkey"), "left")
+    rows = table(s, d, "customer").join(table(s, d, "nation").select("n_nationkey", "n_name"), F.col("n_nationkey") == F.col("c_nationkey"), "left")
     facets = F.array(*[F.struct(F.lit(m).alias("metric"), c.alias("name")) for m, c in (("nation", F.col("n_name")), ("segment", F.col("c_mktsegment")), ("sign", F.when(F.col("c_acctbal") < 0, "debt").otherwise("credit")))])
     return rows.select(F.explode(facets).alias("f"), "c_acctbal").filter("f.name IS NOT NULL").groupBy("f.metric", "f.name").agg(count().alias("n"), total("c_acctbal", "total"))
 
 
 @query("""
 SELECT event_type, user_id % 10 AS bucket, min(CASE WHEN value > 0 THEN value END) AS low, max(value) AS high, round(sum(value), 2) AS total, count(*) AS n, round(avg(value), 4) AS mean,
-  CAST(grouping(user_id % 10) AS INTEGER) AS subtotal FROM events GROUP BY GROUPING SETS ((event_type, user_id % 10), (event_type))""")
+  round(100 * sum(value) / (SELECT sum(value) FROM events), 4) AS percent, CAST(grouping(user_id % 10) AS INTEGER) AS subtotal FROM events GROUP BY GROUPING SETS ((event_type, user_id % 10), (event_type))""")
 def profiler_report(s: SparkSession, d: str) -> DataFrame:
-    """Figures per key and a subtotal per type; 0 never is the minimum."""
+    """Figures per key, their share of the whole, and a subtotal per type; 0 never is the minimum."""
     rows = table(s, d, "events").select("event_type", (F.col("user_id") % 10).alias("bucket"), "value")
-    return rows.groupingSets([[F.col("event_type"), F.col("bucket")], [F.col("event_type")]], F.col("event_type"), F.col("bucket")).agg(F.min(F.when(F.col("value") > 0, F.col("value"))).alias("low"), F.max("value").alias("high"), total("value", "total"), count().alias("n"), F.round(F.avg("value"), 4).alias("mean"), F.grouping("bucket").cast("int").alias("subtotal"))
+    figures = rows.groupingSets([[F.col("event_type"), F.col("bucket")], [F.col("event_type")]], F.col("event_type"), F.col("bucket")).agg(F.min(F.when(F.col("value") > 0, F.col("value"))).alias("low"), F.max("value").alias("high"), total("value", "total"), count().alias("n"), F.round(F.avg("value"), 4).alias("mean"), F.sum("value").alias("_s"), F.grouping("bucket").cast("int").alias("subtotal"))
+    whole = F.broadcast(rows.agg(F.sum("value").alias("_t")))
+    return figures.crossJoin(whole).withColumn("percent", F.round(100 * F.col("_s") / F.col("_t"), 4)).drop("_s", "_t")
 
 
 @query("SELECT p_brand, p_partkey, round(sum(p_retailprice) OVER w, 2) AS needed, round(greatest(0, 20000 - sum(p_retailprice) OVER w + p_retailprice), 2) AS free FROM part WINDOW w AS (PARTITION BY p_brand ORDER BY p_size, p_partkey)")
 def prefix_budget(s: SparkSession, d: str) -> DataFrame:
     """Own cost and that of all earlier priorities; what those leave of the budget."""
-    run = F.sum("p_retailprice").over(Window.partitionBy("p_brand").orderBy("p_size", "p_partkey").rowsBetween(Window.unboundedPreceding, 0))
-    return table(s, d, "part").withColumn("run", run).select("p_brand", "p_partkey", F.round("run", 2).alias("needed"), F.round(F.greatest(F.lit(0.0), 20000 - F.col("run") + F.col("p_retailprice")), 2).alias("free"))
+    parts = table(s, d, "part").select("p_brand", "p_partkey", "p_size", "p_retailprice")
+    rows = sequences.running(parts, ["p_brand"], F.col("p_size"), ["p_size", "p_partkey"], F.col("p_retailprice"), "run")
+    return rows.withColumn("run", F.col("run") + F.col("p_retailprice")).select("p_brand", "p_partkey", F.round("run", 2).alias("needed"), F.round(F.greatest(F.lit(0.0), 20000 - F.col("run") + F.col("p_retailprice")), 2).alias("free"))
 
 
 @query("""
@@ -218,8 +221,7 @@ WITH w AS (SELECT p_brand, p_partkey, p_size, coalesce(sum(p_size) OVER (PARTITI
 SELECT p_brand, p_partkey, CAST(least(p_size, greatest(0, 300 - before)) AS BIGINT) AS kept, before < p_size * 5 AS gated FROM w""")
 def budget_crop(s: SparkSession, d: str) -> DataFrame:
     """Ranks lowered where the running total passes the budget; a row is gated by the points before it."""
-    w = Window.partitionBy("p_brand").orderBy("p_partkey").rowsBetween(Window.unboundedPreceding, -1)
-    rows = table(s, d, "part").withColumn("before", F.coalesce(F.sum("p_size").over(w), F.lit(0)))
+    rows = sequences.running(table(s, d, "part").select("p_brand", "p_partkey", "p_size"), ["p_brand"], F.floor(F.col("p_partkey") / 1000), ["p_partkey"], F.col("p_size"), "before")
     return rows.select("p_brand", "p_partkey", F.least(F.col("p_size").cast("long"), F.greatest(F.lit(0).cast("long"), 300 - F.col("before"))).alias("kept"), (F.col("before") < F.col("p_size") * 5).alias("gated"))
 
 
@@ -231,11 +233,14 @@ def sum_distinct_cost(s: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-SELECT l_suppkey, round(sum(l_extendedprice) / 10, 4) AS mean10 FROM (SELECT l_suppkey, l_extendedprice, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS n FROM lineitem) WHERE n <= 10 GROUP BY 1""")
+WITH w AS (SELECT l_suppkey, CASE WHEN l_linenumber = 1 AND l_quantity > 45 THEN 2 ELSE 1 END AS hands, l_extendedprice, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS n FROM lineitem)
+SELECT l_suppkey, round(sum(l_extendedprice * hands) / 10, 4) AS mean10 FROM w WHERE n <= 10 GROUP BY 1""")
 def topn_avg(s: SparkSession, d: str) -> DataFrame:
-    """The ten largest by ten, also where there are fewer."""
+    """The ten largest by ten, also where there are fewer; what takes both hands counts for both."""
     order = Window.partitionBy("l_suppkey").orderBy(F.desc("l_extendedprice"), "l_orderkey", "l_linenumber")
-    return table(s, d, "lineitem").select("l_suppkey", "l_extendedprice", F.row_number().over(order).alias("n")).filter("n <= 10").groupBy("l_suppkey").agg(F.round(F.sum("l_extendedprice") / 10, 4).alias("mean10"))
+    hands = F.when((F.col("l_linenumber") == 1) & (F.col("l_quantity") > 45), 2).otherwise(1)
+    ranked = table(s, d, "lineitem").select("l_suppkey", (F.col("l_extendedprice") * hands).alias("v"), F.row_number().over(order).alias("n"))
+    return ranked.filter("n <= 10").groupBy("l_suppkey").agg(F.round(F.sum("v") / 10, 4).alias("mean10"))
 
 
 @query("""
@@ -297,23 +302,25 @@ def locale_vote(s: SparkSession, d: str) -> DataFrame:
 SELECT user_id % 5 AS queue, count(*) FILTER (WHERE event_type = 'click') AS clicks, count(*) FILTER (WHERE event_type = 'view') AS views, count(DISTINCT user_id) AS instances,
   CASE WHEN max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) = 0 AND count(DISTINCT user_id) < 3 THEN 1 ELSE 0 END AS top_up FROM events GROUP BY 1""")
 def queue_census(s: SparkSession, d: str) -> DataFrame:
-    """A33, A33b."""
+    """Counts by kind, instances, and a top-up."""
     kind = lambda k: F.count_if(F.col("event_type") == k)
     users = F.countDistinct("user_id")
     return table(s, d, "events").groupBy((F.col("user_id") % 5).alias("queue")).agg(kind("click").alias("clicks"), kind("view").alias("views"), users.alias("instances"), F.when((kind("purchase") == 0) & (users < 3), 1).otherwise(0).alias("top_up"))
 
 
-@query("SELECT CAST(floor(p_size / 6) * 6 AS INTEGER) AS low, count(*) AS n FROM part GROUP BY 1")
+@query("""
+WITH m AS (SELECT max(p_size) AS top, greatest(1, (max(p_size) + 4) // 8) AS step FROM part), x AS (SELECT p_size // step * step AS lo, p_partkey % 2 AS side, top, step FROM part, m WHERE p_size >= 1)
+SELECT CAST(greatest(1, lo) AS INTEGER) AS low, CAST(least(max(top), lo + max(step) - 1) AS INTEGER) AS high, count(*) FILTER (WHERE side = 0) AS one, count(*) FILTER (WHERE side = 1) AS other FROM x GROUP BY lo""")
 def level_histogram(s: SparkSession, d: str) -> DataFrame:
-    """Steps of max(1, (top + 4) div 8) for a top of 50."""
-    return ranges.histogram(table(s, d, "part"), "p_size", 50)
+    """Counts of two sides by steps of max(1, (top + 4) div 8), which end where level + 1 is a multiple of the step."""
+    return ranges.histogram(table(s, d, "part"), "p_size", {"one": F.col("p_partkey") % 2 == 0, "other": F.col("p_partkey") % 2 == 1})
 
 
 @query("""
 WITH b AS (SELECT p_brand, min(p_size) AS lo, min(p_size) + 5 AS hi FROM part GROUP BY 1), x AS (SELECT p_brand, unnest(range(lo, hi + 1)) AS level FROM b)
 SELECT p.p_partkey, count(*) AS brackets FROM part p JOIN x ON x.level = p.p_size GROUP BY 1""")
 def level_range_expand(s: SparkSession, d: str) -> DataFrame:
-    """Brackets expanded to levels, then an equi join."""
+    """Brackets expanded to levels, then an equi join."""
     parts = table(s, d, "part").select("p_partkey", "p_brand", "p_size")
     brackets = parts.groupBy("p_brand").agg(F.min("p_size").alias("lo"), (F.min("p_size") + 5).alias("hi"))
     return ranges.expanded(brackets, "lo", "hi", "level").join(parts.select("p_partkey", F.col("p_size").alias("level")), "level").groupBy("p_partkey").agg(count().alias("brackets"))
@@ -330,10 +337,14 @@ def price_brackets(s: SparkSession, d: str) -> DataFrame:
 # positions
 
 
-@query(f"SELECT map_id, CAST(floor(avg(id)) AS BIGINT) AS low, count(*) AS n FROM ({POSITIONS}) WHERE abs(x) < 0.1 AND abs(y) < 0.1 GROUP BY 1")
+@query(f"""
+SELECT map_id, CAST(floor(avg(p_size)) AS INTEGER) AS low, CAST(floor(avg(p_size + p_partkey % 5)) AS INTEGER) AS high, count(*) AS n FROM ({POSITIONS}) JOIN part ON p_partkey = id + 1
+WHERE abs(x) < 0.1 AND abs(y) < 0.1 AND p_size BETWEEN 5 AND 45 AND p_brand LIKE '%1' GROUP BY 1""")
 def box_avg_level(s: SparkSession, d: str) -> DataFrame:
-    """A3, J1, J2, F7."""
-    return positions(s, d).filter((F.abs("x") < 0.1) & (F.abs("y") < 0.1)).groupBy("map_id").agg(F.floor(F.avg("id")).alias("low"), count().alias("n"))
+    """The pair of mean levels of what stands in a box, by a join with its templates."""
+    templates = table(s, d, "part").filter(F.col("p_size").between(5, 45) & F.col("p_brand").endswith("1")).select((F.col("p_partkey") - 1).alias("id"), "p_size", (F.col("p_size") + F.col("p_partkey") % 5).alias("p_high"))
+    inside = positions(s, d).filter((F.abs("x") < 0.1) & (F.abs("y") < 0.1)).join(templates, "id")
+    return inside.groupBy("map_id").agg(F.floor(F.avg("p_size")).cast("int").alias("low"), F.floor(F.avg("p_high")).cast("int").alias("high"), count().alias("n"))
 
 
 @query(f"WITH p AS ({POSITIONS}) SELECT a.map_id AS g, a.id AS a, b.id AS b FROM p a JOIN p b ON a.map_id = b.map_id AND a.id <> b.id WHERE pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2) <= 0.0064")
@@ -346,7 +357,7 @@ def radius_neighbours(s: SparkSession, d: str) -> DataFrame:
 WITH p AS ({POSITIONS}), n AS (SELECT a.map_id AS g, a.id AS a, count(*) AS n FROM p a JOIN p b ON a.map_id = b.map_id AND a.id <> b.id WHERE pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2) <= 0.0064 GROUP BY ALL)
 SELECT g, a AS densest, n FROM n QUALIFY row_number() OVER (PARTITION BY g ORDER BY n DESC, a) = 1""")
 def density_argmax(s: SparkSession, d: str) -> DataFrame:
-    """The point with most neighbours, the first among equals."""
+    """The point with most neighbours, the first among equals."""
     n = spatial.within(positions(s, d), "id", "map_id", 0.08).groupBy("g", F.col("a").alias("densest")).agg(count().alias("n"))
     return scoring.best(n, ["g"], F.desc("n"), F.asc("densest"))
 
@@ -355,14 +366,14 @@ def density_argmax(s: SparkSession, d: str) -> DataFrame:
 WITH p AS ({POSITIONS}) SELECT a.id AS a, b.id AS b, CAST(row_number() OVER (PARTITION BY a.id ORDER BY round(pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2), 6), b.id) AS INTEGER) AS rank
 FROM p a JOIN p b ON a.map_id = b.map_id AND a.id <> b.id QUALIFY rank <= 5""")
 def knn5(s: SparkSession, d: str) -> DataFrame:
-    """The five nearest of the map."""
+    """The five nearest of the map."""
     p = positions(s, d)
     return spatial.nearest(p, p, "id", "id", "map_id", 5).select("a", "b", "rank")
 
 
 @query(f"SELECT map_id, CAST(floor(x / 0.05) AS INTEGER) AS cx, CAST(floor(y / 0.05) AS INTEGER) AS cy, count(*) AS n, min(id) AS head FROM ({POSITIONS}) GROUP BY ALL HAVING count(*) >= 2")
 def grid_cells_having(s: SparkSession, d: str) -> DataFrame:
-    """Cells with two points or more."""
+    """Cells with two points or more."""
     return positions(s, d).groupBy("map_id", spatial.cell("x", 0.05).alias("cx"), spatial.cell("y", 0.05).alias("cy")).agg(count().alias("n"), F.min("id").alias("head")).filter("n >= 2")
 
 
@@ -370,7 +381,7 @@ def grid_cells_having(s: SparkSession, d: str) -> DataFrame:
 WITH p AS ({POSITIONS}), c AS (SELECT map_id, avg(x) AS mx, avg(y) AS my, avg(z) AS mz, count(*) AS n FROM p GROUP BY 1)
 SELECT map_id, p.id AS medoid, n, round(mx, 4) AS mx, round(my, 4) AS my FROM p JOIN c USING (map_id) QUALIFY row_number() OVER (PARTITION BY map_id ORDER BY round(pow(x - mx, 2) + pow(y - my, 2) + pow(z - mz, 2), 6), p.id) = 1""")
 def centroid_medoid(s: SparkSession, d: str) -> DataFrame:
-    """A16, A17, X21."""
+    """A16, A17."""
     m = spatial.medoid(positions(s, d), ["map_id"], "id")
     return m.select("map_id", "medoid", "n", F.round("mx", 4).alias("mx"), F.round("my", 4).alias("my"))
 
@@ -379,34 +390,23 @@ def centroid_medoid(s: SparkSession, d: str) -> DataFrame:
 WITH s AS (SELECT user_id, event_id, abs(value - lag(value) OVER w) AS step FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
 SELECT user_id, round(sum(coalesce(step, 0)), 2) AS length, count(*) AS points FROM s GROUP BY 1""")
 def path_running_distance(s: SparkSession, d: str) -> DataFrame:
-    """The length of each user's path of values."""
+    """The length of each user's path of values."""
     return spatial.steps(table(s, d, "events"), "user_id", "event_id", "value").groupBy("user_id").agg(total("step", "length"), count().alias("points"))
 
 
-@query("SELECT user_id, concat('LINESTRING(', string_agg(concat(event_id, ' ', user_id), ',' ORDER BY event_id), ')') AS wkt FROM events GROUP BY 1")
+@query("SELECT user_id, CAST(date_trunc('day', ts) AS DATE) AS day, concat('LINESTRING(', string_agg(concat(event_id, ' ', user_id), ',' ORDER BY event_id), ')') AS wkt FROM events GROUP BY ALL")
 def wkt_paths(s: SparkSession, d: str) -> DataFrame:
-    """Paths as text."""
-    rows = table(s, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct(F.col("event_id").alias("x"), F.col("user_id").alias("y")))).alias("p"))
-    return rows.select("user_id", spatial.wkt_line(F.col("p")).alias("wkt"))
+    """Each user's path of a day as text."""
+    rows = table(s, d, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.array_sort(F.collect_list(F.struct(F.col("event_id").alias("x"), F.col("user_id").alias("y")))).alias("p"))
+    return rows.select("user_id", "day", spatial.wkt_line(F.col("p")).alias("wkt"))
 
 
 @query(f"""
-WITH p AS ({POSITIONS}), f AS (SELECT map_id, x + 0.1 * r * cos(a * pi() / 4) AS fx, y + 0.1 * r * sin(a * pi() / 4) AS fy, a, r FROM p, range(0, 8) t(a), range(1, 3) u(r) WHERE id % 50 = 0),
-e AS (SELECT map_id, x AS ex, y AS ey FROM p WHERE id % 7 = 0), g AS (SELECT f.map_id, a, r, fx, fy, min(sqrt(pow(fx - ex, 2) + pow(fy - ey, 2))) AS gap, sum(sqrt(pow(fx - ex, 2) + pow(fy - ey, 2))) AS away FROM f JOIN e USING (map_id) GROUP BY ALL)
+WITH p AS ({POSITIONS}), f AS (SELECT DISTINCT map_id, x + 0.1 * r * cos(a * pi() / 4) AS fx, y + 0.1 * r * sin(a * pi() / 4) AS fy FROM p, range(0, 8) t(a), range(1, 3) u(r)),
+g AS (SELECT f.map_id, fx, fy, min(sqrt(pow(fx - p.x, 2) + pow(fy - p.y, 2))) AS gap, sum(sqrt(pow(fx - p.x, 2) + pow(fy - p.y, 2))) AS away FROM f JOIN p ON p.map_id = f.map_id GROUP BY ALL)
 SELECT map_id, round(max(away), 4) AS away FROM g WHERE gap > 0.02 GROUP BY 1""")
 def flee_grid(s: SparkSession, d: str) -> DataFrame:
-    """R11 on a part of the points (origins id % 50 = 0, enemies id % 7 = 0, as its SQL has it); flee_grid_whole takes all."""
-    p = positions(s, d)
-    cells = p.filter("id % 50 = 0").withColumn("a", F.explode(F.sequence(F.lit(0), F.lit(7)))).withColumn("r", F.explode(F.sequence(F.lit(1), F.lit(2))))
-    grid = cells.select("map_id", "a", "r", (F.col("x") + 0.1 * F.col("r") * F.cos(F.col("a") * F.pi() / 4)).alias("fx"), (F.col("y") + 0.1 * F.col("r") * F.sin(F.col("a") * F.pi() / 4)).alias("fy"))
-    far = F.sqrt(F.pow(F.col("fx") - F.col("x"), 2) + F.pow(F.col("fy") - F.col("y"), 2))
-    sums = grid.join(p.filter("id % 7 = 0").select("map_id", "x", "y"), "map_id").groupBy("map_id", "a", "r", "fx", "fy").agg(F.min(far).alias("gap"), F.sum(far).alias("away"))
-    return sums.filter("gap > 0.02").groupBy("map_id").agg(F.round(F.max("away"), 4).alias("away"))
-
-
-@query(None)
-def flee_grid_whole(s: SparkSession, d: str) -> DataFrame:
-    """Of the polar grids of all points the places not too near to any point; the largest sum of distances to all of them (tested against brute force)."""
+    """R11, the cross join of places and points: of the polar grids of all points the places not too near to any point; the largest sum of distances to all of them."""
     return spatial.farthest_flight(positions(s, d), "map_id").select("map_id", F.round("away", 4).alias("away"))
 
 
@@ -432,7 +432,7 @@ def heal_priority(s: SparkSession, d: str) -> DataFrame:
 SELECT s_nationkey, s_suppkey FROM (SELECT *, CASE WHEN s_acctbal BETWEEN 500 AND 3000 THEN 2 WHEN s_acctbal < 500 THEN 1 ELSE 0 END + CASE WHEN s_suppkey % 2 = 0 THEN 10 ELSE 0 END AS level FROM supplier)
 QUALIFY row_number() OVER (PARTITION BY s_nationkey ORDER BY level DESC, CASE WHEN level % 10 = 2 THEN s_acctbal ELSE -s_acctbal END, s_suppkey) = 1""")
 def target_class_rank(s: SparkSession, d: str) -> DataFrame:
-    """Classes first, then an order that differs by class."""
+    """Classes first, then an order that differs by class."""
     bal = F.col("s_acctbal")
     level = F.when(bal.between(500, 3000), 2).when(bal < 500, 1).otherwise(0) + F.when(F.col("s_suppkey") % 2 == 0, 10).otherwise(0)
     rows = table(s, d, "supplier").withColumn("level", level)
@@ -447,7 +447,7 @@ WITH r(event_type, act, rel) AS (VALUES ('click', 'attack', 10.0::DOUBLE), ('cli
 c AS (SELECT user_id, act, max(rel * CASE WHEN value < 1 THEN 0 ELSE 1 + value / 1000 END) AS rel, min(event_id) AS first FROM events JOIN r USING (event_type) WHERE value >= 1 GROUP BY ALL)
 SELECT user_id, act FROM c QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY round(rel, 6) DESC, first, act) = 1""")
 def rule_argmax(s: SparkSession, d: str) -> DataFrame:
-    """Rules fire, relevances are multiplied and dropped at 0, actions keep their largest, the best wins."""
+    """Rules fire, relevances are multiplied and dropped at 0, actions keep their largest, the best wins."""
     rules = s.createDataFrame(RULES, "event_type string, act string, rel double")
     fired = table(s, d, "events").join(F.broadcast(rules), "event_type")
     fired = fired.withColumn("r", scoring.product([F.col("rel"), F.when(F.col("value") < 1, 0.0).otherwise(1 + F.col("value") / 1000)])).filter("r IS NOT NULL")
@@ -456,12 +456,14 @@ def rule_argmax(s: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-SELECT c_custkey, CAST(CASE WHEN r <= 3 THEN 1 ELSE 2 END AS INTEGER) AS phase FROM (SELECT c_custkey, c_acctbal, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey) AS r FROM customer)
-ORDER BY phase, c_acctbal DESC, c_custkey LIMIT 40""")
+WITH r AS (SELECT c_custkey, c_acctbal, c_mktsegment, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey) AS r FROM customer),
+a AS (SELECT c_custkey, 1 AS phase FROM r WHERE r <= 3), b AS (SELECT c_custkey, 2 AS phase FROM r WHERE r > 3 AND c_mktsegment = 'BUILDING' ORDER BY c_acctbal DESC, c_custkey LIMIT 10),
+c AS (SELECT c_custkey, 3 AS phase FROM r WHERE c_custkey NOT IN (SELECT c_custkey FROM a UNION ALL SELECT c_custkey FROM b) ORDER BY c_acctbal DESC, c_custkey LIMIT 40 - (SELECT count(*) FROM a) - (SELECT count(*) FROM b))
+SELECT c_custkey, CAST(phase AS INTEGER) AS phase FROM a UNION ALL SELECT c_custkey, CAST(phase AS INTEGER) FROM b UNION ALL SELECT c_custkey, CAST(phase AS INTEGER) FROM c""")
 def quota_phases(s: SparkSession, d: str) -> DataFrame:
-    """Three of each segment first, then the best others up to 40 (a top-k report)."""
-    segments = {x: 3 for x in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")}
-    return scoring.phases(table(s, d, "customer"), "c_mktsegment", segments, 40, F.desc("c_acctbal"), F.asc("c_custkey")).select("c_custkey", "phase")
+    """Three of each segment, then ten more of one, then the best others, 40 in all (a top-k report)."""
+    rows = table(s, d, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    return scoring.phases(rows, "c_custkey", "c_mktsegment", 3, ("BUILDING", 10), 40, F.desc("c_acctbal"), F.asc("c_custkey")).select("c_custkey", "phase")
 
 
 @query("SELECT c_custkey % 500 AS bucket, count(*) AS n, CAST(min(c_custkey) AS BIGINT) AS head FROM customer GROUP BY 1")
@@ -476,10 +478,12 @@ def sha_key(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "customer").select("c_custkey", F.sha2("c_name", 256).alias("key"))
 
 
-@query(None)
+@query("""
+SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 0 ORDER BY -ln((CAST(('0x' || substr(md5('11:' || c_custkey), 1, 8)) AS BIGINT) + 1) / 4294967297.0) / c_acctbal, c_custkey LIMIT 100""")
 def weighted_shuffle(s: SparkSession, d: str) -> DataFrame:
-    """Customers in a weighted random order, the first 100 (a sampling operator; random, so without SQL)."""
-    return table(s, d, "customer").filter("c_acctbal > 0").orderBy(scoring.weighted_order(F.col("c_acctbal"), 11)).limit(100).select("c_custkey", "c_acctbal")
+    """Customers in a weighted random order, the first 100 (a sampling operator); rolls are hashes of the key, so runs agree."""
+    order = scoring.weighted_order(F.col("c_acctbal"), F.col("c_custkey"), 11)
+    return table(s, d, "customer").filter("c_acctbal > 0").orderBy(order, "c_custkey").limit(100).select("c_custkey", "c_acctbal")
 
 
 # text
@@ -497,7 +501,7 @@ WITH c(command) AS (VALUES ('the'), ('the and'), ('of'), ('and'), ('is'), ('The'
 x AS (SELECT conv_id, turn, text, n, array_to_string(w[1:n], ' ') AS command FROM m, range(1, 4) t(n) WHERE n <= len(w))
 SELECT conv_id, turn, max(x.command) AS command FROM (SELECT x.* FROM x JOIN c ON c.command = x.command QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY n DESC) = 1) x GROUP BY ALL""")
 def command_prefix(s: SparkSession, d: str) -> DataFrame:
-    """The longest command a message begins with."""
+    """The longest command a message begins with."""
     commands = s.createDataFrame([(c,) for c in ("the", "the and", "of", "and", "is", "The", "To", "And")], "command string")
     return X.routed(table(s, d, "conversations").select("conv_id", "turn", "text"), commands, "text", "command").select("conv_id", "turn", "command")
 
@@ -514,7 +518,7 @@ def money_roundtrip(s: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT page_id, len(list_distinct(regexp_extract_all(html, 'href=\"/([^\"]*)\"', 1))) AS links, regexp_extract(url, '//([^/]*)/', 1) AS host FROM pages")
 def link_extract(s: SparkSession, d: str) -> DataFrame:
-    """Distinct links and the host of each page."""
+    """Distinct links and the host of each page."""
     links = F.array_distinct(F.regexp_extract_all("html", F.lit('href="/([^"]*)"'), F.lit(1)))
     return table(s, d, "pages").select("page_id", F.size(links).cast("long").alias("links"), F.regexp_extract("url", "//([^/]*)/", 1).alias("host"))
 
@@ -534,7 +538,7 @@ def split_semantics(s: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT c_mktsegment, CASE WHEN sign = '-' THEN 'off' ELSE 'on' END AS state, count(*) AS n FROM (SELECT c_mktsegment, CASE WHEN c_custkey % 2 = 0 THEN '+' ELSE '-' END AS sign FROM customer) GROUP BY ALL")
 def strategy_delta(s: SparkSession, d: str) -> DataFrame:
-    """Signed names taken apart."""
+    """Signed names taken apart."""
     text = F.concat(F.when(F.col("c_custkey") % 2 == 0, "+").otherwise("-"), "c_mktsegment", F.lit(",?,plain"))
     rows = table(s, d, "customer").select(F.explode(X.deltas(text)).alias("x"))
     return rows.groupBy(F.col("x.name").alias("c_mktsegment"), F.when(F.col("x.sign") == "-", "off").otherwise("on").alias("state")).agg(count().alias("n"))
@@ -543,8 +547,16 @@ def strategy_delta(s: SparkSession, d: str) -> DataFrame:
 # graph
 
 EDGES_SQL = """e AS (
-  SELECT src, dst, cost FROM (SELECT s_nationkey AS src, c_nationkey AS dst, round(1000000 / (1 + sum(l_quantity)), 4) AS cost, row_number() OVER (PARTITION BY s_nationkey ORDER BY sum(l_quantity) DESC, c_nationkey) AS n
-  FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN supplier ON s_suppkey = l_suppkey WHERE s_nationkey <> c_nationkey GROUP BY s_nationkey, c_nationkey) WHERE n <= 2)"""
+  SELECT s_nationkey AS src, c_nationkey AS dst, round(1000000 / (1 + sum(l_quantity)), 4) AS cost
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN supplier ON s_suppkey = l_suppkey WHERE s_nationkey <> c_nationkey GROUP BY s_nationkey, c_nationkey)"""
+
+
+def doubled(name: str, start: str, value: str, times: int = 5) -> str:
+    """SQL tables name1 to name{times + 1}: the least sums of `value` over ways of up to 2 ** times edges."""
+    steps = [f"{name}1 AS ({start})"]
+    for i in range(1, times + 1):
+        steps.append(f"{name}{i + 1} AS (SELECT src, dst, min({value}) AS {value} FROM (SELECT * FROM {name}{i} UNION ALL SELECT a.src, b.dst, a.{value} + b.{value} FROM {name}{i} a JOIN {name}{i} b ON a.dst = b.src WHERE a.src <> b.dst) GROUP BY ALL)")
+    return ", ".join(steps)
 
 
 def flows(s: SparkSession, d: str) -> DataFrame:
@@ -552,95 +564,51 @@ def flows(s: SparkSession, d: str) -> DataFrame:
     return flow.filter("s_nationkey <> c_nationkey").groupBy(F.col("s_nationkey").alias("src"), F.col("c_nationkey").alias("dst")).agg(F.sum("l_quantity").alias("q"))
 
 
-def costed(sums: DataFrame) -> DataFrame:
-    return sums.select("src", "dst", F.round(F.lit(1000000) / (1 + F.col("q")), 4).alias("cost"))
-
-
 def all_edges(s: SparkSession, d: str) -> DataFrame:
-    return checkpointed(costed(flows(s, d)))
+    """The flow graph, its lineage cut, so that rounds don't read the tables again."""
+    return checkpointed(flows(s, d).select("src", "dst", F.round(F.lit(1000000) / (1 + F.col("q")), 4).alias("cost")))
 
 
-def edges(s: SparkSession, d: str) -> DataFrame:
-    sums = flows(s, d)
-    top = sums.withColumn("n", F.row_number().over(Window.partitionBy("src").orderBy(F.desc("q"), "dst"))).filter("n <= 2")
-    return costed(top)
-
-
-@query(f"""
-WITH RECURSIVE {EDGES_SQL}, r AS (SELECT src, dst, 1 AS hops FROM e UNION SELECT r.src, e.dst, r.hops + 1 FROM r JOIN e ON e.src = r.dst WHERE r.hops < 6)
-SELECT src, dst, CAST(min(hops) AS INTEGER) AS hops FROM r WHERE src <> dst GROUP BY ALL""")
+@query(f"WITH {EDGES_SQL}, {doubled('h', 'SELECT src, dst, 1 AS hops FROM e', 'hops')} SELECT src, dst, CAST(hops AS INTEGER) AS hops FROM h6")
 def graph_closure(s: SparkSession, d: str) -> DataFrame:
-    """What each node reaches in six hops, and the fewest."""
-    return graph.closure(edges(s, d), 6)
+    """What each node reaches, in any number of hops, and the fewest (25 nations: the SQL's 32 hops are enough)."""
+    return graph.closure(all_edges(s, d))
 
 
-@query(f"""
-WITH RECURSIVE {EDGES_SQL}, u AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e), r AS (SELECT src, dst, [src, dst] AS path FROM u UNION ALL SELECT r.src, u.dst, list_append(r.path, u.dst) FROM r JOIN u ON u.src = r.dst WHERE len(r.path) < 4 AND NOT list_contains(r.path, u.dst))
-SELECT src, dst, array_to_string(path, '>') AS path FROM r QUALIFY row_number() OVER (PARTITION BY src, dst ORDER BY len(path), path) = 1""")
-def graph_bfs_paths(s: SparkSession, d: str) -> DataFrame:
-    """A shortest path of at most three edges between all pairs, undirected."""
-    return graph.shortest_paths(graph.undirected(edges(s, d)), 3).select("src", "dst", F.array_join(F.col("path").cast("array<string>"), ">").alias("path"))
+UNDIRECTED_SQL = "u AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e)"
 
 
 @query(f"""
-WITH {EDGES_SQL}, t AS (SELECT a.src, b.dst, min(a.cost + b.cost) AS two FROM e a JOIN e b ON a.dst = b.src GROUP BY ALL)
-SELECT e.src, e.dst FROM e LEFT JOIN t ON t.src = e.src AND t.dst = e.dst WHERE two IS NULL OR two >= 1.1 * cost""")
-def graph_detour_prune(s: SparkSession, d: str) -> DataFrame:
-    """One pass over two-hop detours, a part of G8."""
-    return graph.without_detours(edges(s, d)).select("src", "dst")
+WITH RECURSIVE {EDGES_SQL}, {UNDIRECTED_SQL}, {doubled('h', 'SELECT src, dst, 1 AS hops FROM u', 'hops')},
+r AS (SELECT src, dst, [src, dst] AS path FROM u UNION ALL SELECT r.src, u.dst, list_append(r.path, u.dst) FROM r JOIN u ON u.src = r.dst JOIN h6 ON h6.src = r.src AND h6.dst = u.dst AND h6.hops = len(r.path))
+SELECT src, dst, array_to_string(path, '>') AS path FROM r QUALIFY row_number() OVER (PARTITION BY src, dst ORDER BY path) = 1""")
+def graph_bfs_paths(s: SparkSession, d: str) -> DataFrame:
+    """A shortest path between all pairs, of any length, undirected."""
+    return graph.shortest_paths(graph.undirected(all_edges(s, d))).select("src", "dst", F.array_join(F.col("path").cast("array<string>"), ">").alias("path"))
 
 
-@query(f"""
-WITH RECURSIVE {EDGES_SQL}, r AS (SELECT src, dst, cost, 1 AS hops FROM e UNION ALL SELECT r.src, e.dst, r.cost + e.cost, r.hops + 1 FROM r JOIN e ON e.src = r.dst WHERE r.hops < 4)
-SELECT src, dst, round(min(cost), 2) AS cost FROM r WHERE src <> dst GROUP BY ALL""")
+@query(f"WITH {EDGES_SQL}, {doubled('c', 'SELECT * FROM e', 'cost')} SELECT src, dst, round(cost, 2) AS cost FROM c6")
 def graph_cheapest(s: SparkSession, d: str) -> DataFrame:
-    """The least cost with at most four edges."""
-    return graph.cheapest(edges(s, d), 4).select("src", "dst", F.round("cost", 2).alias("cost"))
+    """G9 without prices: the least cost with any number of edges."""
+    return graph.cheapest(all_edges(s, d)).select("src", "dst", F.round("cost", 2).alias("cost"))
 
 
 @query(f"""
 WITH {EDGES_SQL}, t AS (SELECT src, dst, cost FROM e UNION ALL SELECT a.src, b.dst, a.cost + b.cost FROM e a JOIN e b ON a.dst = b.src WHERE a.src <> b.dst)
 SELECT src, dst, round(least(200000, min(cost)), 2) AS cost FROM t GROUP BY ALL""")
 def transfer_min(s: SparkSession, d: str) -> DataFrame:
-    """X22, G16."""
-    return graph.transfers_closed(edges(s, d)).select("src", "dst", F.round(F.least(F.lit(200000.0), "cost"), 2).alias("cost"))
-
-
-ALL_EDGES_SQL = EDGES_SQL.replace(" WHERE n <= 2", "")
-
-
-@query(None)
-def graph_closure_whole(s: SparkSession, d: str) -> DataFrame:
-    """What each node reaches over all flows, in any number of hops, and the fewest."""
-    return graph.closure(all_edges(s, d))
-
-
-@query(None)
-def graph_bfs_paths_whole(s: SparkSession, d: str) -> DataFrame:
-    """A shortest path between all pairs, of any length, over all flows, undirected."""
-    return graph.shortest_paths(graph.undirected(all_edges(s, d))).select("src", "dst", F.array_join(F.col("path").cast("array<string>"), ">").alias("path"))
-
-
-@query(f"""
-WITH {ALL_EDGES_SQL}, t AS (SELECT a.src, b.dst, min(a.cost + b.cost) AS two FROM e a JOIN e b ON a.dst = b.src GROUP BY ALL)
-SELECT e.src, e.dst FROM e LEFT JOIN t ON t.src = e.src AND t.dst = e.dst WHERE two IS NULL OR two >= 1.1 * cost""")
-def graph_detour_prune_whole(s: SparkSession, d: str) -> DataFrame:
-    """One pass over two-hop detours, a part of G8, over all flows."""
-    return graph.without_detours(all_edges(s, d)).select("src", "dst")
-
-
-@query(None)
-def graph_cheapest_whole(s: SparkSession, d: str) -> DataFrame:
-    """The least cost over all flows with any number of edges."""
-    return graph.cheapest(all_edges(s, d)).select("src", "dst", F.round("cost", 2).alias("cost"))
+    """Transfers and their two-step joins, the shortest of each pair."""
+    return graph.transfers_closed(all_edges(s, d)).select("src", "dst", F.round(F.least(F.lit(200000.0), "cost"), 2).alias("cost"))
 
 
 @query(f"""
-WITH {ALL_EDGES_SQL}, t AS (SELECT src, dst, cost FROM e UNION ALL SELECT a.src, b.dst, a.cost + b.cost FROM e a JOIN e b ON a.dst = b.src WHERE a.src <> b.dst)
-SELECT src, dst, round(least(200000, min(cost)), 2) AS cost FROM t GROUP BY ALL""")
-def transfer_min_whole(s: SparkSession, d: str) -> DataFrame:
-    """Over all flows."""
-    return graph.transfers_closed(all_edges(s, d)).select("src", "dst", F.round(F.least(F.lit(200000.0), "cost"), 2).alias("cost"))
+WITH {EDGES_SQL}, r AS (SELECT path, unnest(range(1, 5)) AS k FROM (SELECT n_nationkey AS path FROM nation)), p AS (SELECT path, (path + k * (path % 3 + 1) - path % 3 - 1) % 25 AS src, (path + k * (path % 3 + 1)) % 25 AS dst FROM r)
+SELECT path AS path_id, round(sum(cost), 4) AS cost FROM p JOIN e ON e.src = p.src AND e.dst = p.dst GROUP BY 1""")
+def route_lengths(s: SparkSession, d: str) -> DataFrame:
+    """The length of a route of five nodes from each nation, over all of its edges."""
+    node = F.col("n_nationkey")
+    route = table(s, d, "nation").select(F.col("n_nationkey").alias("path_id"), F.transform(F.sequence(F.lit(0), F.lit(4)), lambda k: ((node + k * (node % 3 + 1)) % 25).cast("int")).alias("path"))
+    return graph.route_length(route, all_edges(s, d).withColumn("src", F.col("src").cast("int")).withColumn("dst", F.col("dst").cast("int"))).select("path_id", F.round("cost", 4).alias("cost"))
 
 
 # state and streams
@@ -652,13 +620,19 @@ f AS (SELECT user_id, n, v AS ema FROM v WHERE n = 1 UNION ALL SELECT v.user_id,
 SELECT user_id, CAST(arg_max(ema, n) AS BIGINT) AS ema, CAST(max(n) AS BIGINT) AS n FROM f GROUP BY 1""")
 def ema_fold(s: SparkSession, d: str) -> DataFrame:
     """Integer smoothing, truncated at each step."""
-    return replay.smoothed(table(s, d, "events").select("user_id", "event_id", F.floor("value").cast("long").alias("v")), "user_id", "event_id", "v")
+    return folds.smoothed(table(s, d, "events").select("user_id", "event_id", F.floor("value").cast("long").alias("v")), "user_id", "event_id", "v")
 
 
-@query(None)
+@query("""
+WITH RECURSIVE v AS (SELECT user_id, 50 - value AS e, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
+f AS (SELECT user_id, 0::BIGINT AS n, 0.0::DOUBLE AS integral, 0.0::DOUBLE AS before, 0.0::DOUBLE AS out FROM (SELECT DISTINCT user_id FROM events)
+  UNION ALL SELECT user_id, n, CASE WHEN raw BETWEEN -100 AND 100 THEN integral + e ELSE integral END, e, least(100.0, greatest(-100.0, raw)) FROM (
+    SELECT v.user_id, v.n, v.e, integral, 0.5 * v.e + 0.01 * (integral + v.e) + 0.1 * (v.e - before) AS raw FROM f JOIN v ON v.user_id = f.user_id AND v.n = f.n + 1))
+SELECT user_id, round(arg_max(out, n), 6) AS out FROM f GROUP BY 1""")
 def pid_control(s: SparkSession, d: str) -> DataFrame:
-    """The last output of a controller per user (an ordered float fold; tested against a plain loop)."""
-    return replay.controlled(table(s, d, "events").select("user_id", "event_id", (50 - F.col("value")).alias("error")), "user_id", "event_id", "error", 0.5, 0.01, 0.1, -100.0, 100.0)
+    """The last output of a controller per user, an ordered fold."""
+    rows = table(s, d, "events").select("user_id", "event_id", (50 - F.col("value")).alias("error"))
+    return folds.controlled(rows, "user_id", "event_id", "error", 0.5, 0.01, 0.1, -100.0, 100.0).select("user_id", F.round("out", 6).alias("out"))
 
 
 @query("SELECT user_id, CAST(sum(CASE WHEN value <= 50 THEN 100 WHEN value >= 200 THEN 0 ELSE floor(100 - (value - 50) * 100 / 150) END) AS BIGINT) AS kept, count(*) FILTER (WHERE user_id % 201 < 100) AS active FROM events GROUP BY 1")
@@ -678,11 +652,11 @@ def report_tumbling(s: SparkSession, d: str) -> DataFrame:
 @query("SELECT time_bucket(INTERVAL 1 day, ts) AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL")
 def stream_window_replay(s: SparkSession, d: str) -> DataFrame:
     """The same counts by a stream with a watermark, replayed to its end."""
-    rows = replay.replayed(replay.windowed(replay.event_stream(s, d), "1 day", "36500 days"), "complete")
+    rows = replay.replayed(replay.windowed(replay.event_stream(s, d), "1 day", "1 day"), "complete")
     return rows.select(F.col("window.start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 2).alias("total"))
 
 
 @query("SELECT user_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1")
 def stream_ttl_replay(s: SparkSession, d: str) -> DataFrame:
     """K2: the newest value of each key, kept by a stream."""
-    return replay.replayed(replay.last_values(replay.event_stream(s, d), "36500 days"), "complete").select("user_id", "event_type", "value")
+    return replay.replayed(replay.last_values(replay.event_stream(s, d), "1 day"), "complete").select("user_id", "event_type", "value")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,10 +21,13 @@ def session(master: str | None = None, **conf: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, which the driver and all executors share; a local one only where none is set (tests)."""
+    """spark.checkpoint.dir, which the driver and all executors share. Where none is set, a session whose executors are
+    threads of the driver (tests) gets a local one; any other has no folder to share, so that is an error."""
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="lodestone-")
         context.setCheckpointDir(folder)
     return folder

@@ -1,12 +1,14 @@
-"""Tables, caches, key-value stores, files (S1 to S19 but S8, S15 and S16)."""
+"""Tables, caches, key-value stores, files."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.functions.text import number
 from lodestone.operators.spatial import wkt_line
 
 
@@ -27,22 +29,55 @@ def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]
     return spark.read.parquet(path)
 
 
+def _files(spark: SparkSession, path: str):
+    java = spark._jvm.org.apache.hadoop.fs
+    return java.FileContext.getFileContext(java.Path(path).toUri(), spark._jsc.hadoopConfiguration()), java
+
+
 def replace_table(df: DataFrame, path: str) -> None:
-    """Written beside the old table, then renamed over it, so readers see one or the other."""
+    """The new rows are written as a version of their own beside the old ones; then the file CURRENT, which names the
+    version that counts, is replaced by one atomic rename. A reader (`read_table`) sees the old rows or the new ones, never a mixture."""
     spark = df.sparkSession
-    new = f"{path}.new"
-    df.write.mode("overwrite").parquet(new)
-    java = spark._jvm.org.apache.hadoop.fs.Path
-    files = java(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(java(path), True)
-    files.rename(java(new), java(path))
+    version = f"v-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{version}")
+    files, java = _files(spark, path)
+    rename = getattr(java, "Options$Rename")
+    options = spark._sc._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    flags = spark._jvm.java.util.EnumSet.of(java.CreateFlag.CREATE)
+    fresh = java.Path(f"{path}/CURRENT.{version}")
+    out = files.create(fresh, flags, spark._sc._gateway.new_array(getattr(java, "Options$CreateOpts"), 0))
+    out.write(bytearray(version.encode()))
+    out.close()
+    files.rename(fresh, java.Path(f"{path}/CURRENT"), options)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The rows that `replace_table` put in place last. Old versions stay for readers that have begun; see `expire_versions`."""
+    return spark.read.parquet(f"{path}/{spark.read.text(f'{path}/CURRENT').first()[0]}")
+
+
+def expire_versions(spark: SparkSession, path: str) -> int:
+    """Deletes the versions of a table that no longer count; how many."""
+    now = spark.read.text(f"{path}/CURRENT").first()[0]
+    files, java = _files(spark, path)
+    found = [f.getPath() for f in files.util().listStatus(java.Path(path)) if f.isDirectory() and f.getPath().getName() != now]
+    for old in found:
+        files.delete(old, True)
+    return len(found)
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """whether a table stands at the path."""
+    files, java = _files(spark, path)
+    return files.util().exists(java.Path(path))
 
 
 def settings(spark: SparkSession, path: str) -> DataFrame:
-    """Key and value of 'key = value' lines, and the value as a number (0 if it is none); comments go."""
+    """Key and value of 'key = value' lines, and the value as a number (0 if it begins with none); comments go."""
     lines = spark.read.text(path).filter("NOT value RLIKE '^\\\\s*(#|$)' AND value LIKE '%=%'")
-    value = F.trim(F.substring_index("value", "=", -1))
-    return lines.select(F.trim(F.substring_index("value", "=", 1)).alias("key"), value.alias("value"), F.coalesce(F.try_to_number(F.regexp_extract(value, r"^[+-]?\d{1,9}", 0), F.lit("S999999999")).cast("int"), F.lit(0)).alias("number"))
+    value = F.trim(F.expr("substring(value, instr(value, '=') + 1)"))
+    return lines.select(F.trim(F.substring_index("value", "=", 1)).alias("key"), value.alias("value"), number(value).alias("number"))
 
 
 def append_log(df: DataFrame, path: str) -> None:

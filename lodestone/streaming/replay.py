@@ -44,29 +44,6 @@ def last_values(stream: DataFrame, late: str) -> DataFrame:
     return stream.withWatermark("ts", late).groupBy("user_id", "event_type").agg(F.max_by("value", F.struct("ts", "event_id")).alias("value"), F.max("ts").alias("ts"))
 
 
-def smoothed(rows: DataFrame, key: str, order: str, value: str) -> DataFrame:
-    """(9 * old + new) div 10 over the ordered integer values of each key, in one fold; the first value starts it."""
-    ordered = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, value))).alias("_v"))
-    fold = F.aggregate(F.slice("_v", 2, F.greatest(F.lit(1), F.size("_v"))), F.col("_v")[0][value].cast("long"), lambda old, new: F.floor((old * 9 + new[value]) / 10))
-    return ordered.select(key, fold.alias("ema"), F.size("_v").cast("long").alias("n"))
-
-
-def controlled(rows: DataFrame, key: str, order: str, error: str, kp: float, ki: float, kd: float, low: float, high: float) -> DataFrame:
-    """The last output of a PID controller per key, clamped, the integral held while it is (no wind-up)."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        integral = before = out = 0.0
-        for e in pdf.sort_values(order)[error]:
-            raw = kp * e + ki * (integral + e) + kd * (e - before)
-            out = min(high, max(low, raw))
-            if out == raw:
-                integral += e
-            before = e
-        return pd.DataFrame({key: [pdf[key].iloc[0]], "out": [out]})
-
-    return rows.select(key, order, error).groupBy(key).applyInPandas(run, f"{key} long, out double")
-
-
 def throttled(stream: DataFrame, interval_seconds: float) -> DataFrame:
     """K5: of each user's events those at least the interval after the last one let through (state kept per user)."""
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
