@@ -145,3 +145,39 @@ def reply(command: Column, told: dict[str, Column]) -> Column:
         said = F.concat(F.lit(f"{name} "), value)
         out = F.when(command == name, said) if out is None else out.when(command == name, said)
     return out.otherwise("invalid request")
+
+
+def wkt(points: Column, shape: str) -> Column:
+    """POINT, MULTIPOINT, LINESTRING or POLYGON (closed) of an array of structs with x and y; of a POINT the first."""
+    pair = lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string"))
+    listed = lambda a: F.array_join(F.transform(a, pair), ",")
+    if shape == "POINT":
+        return F.concat(F.lit("POINT("), pair(points[0]), F.lit(")"))
+    if shape == "POLYGON":
+        return F.concat(F.lit("POLYGON(("), listed(F.concat(points, F.slice(points, 1, 1))), F.lit("))"))
+    return F.concat(F.lit(f"{shape}("), listed(points), F.lit(")"))
+
+
+def generated_name(key: Column, forms: list[str], letters: dict[str, str], rules: list[tuple[str, str]]) -> Column:
+    """A name for each key: a form, its categories replaced by letters of theirs, then rules applied one after the
+    other, each until it no longer applies; the first letter is a capital. Choices are hashes of the key, so names stay."""
+    roll = lambda at, n: F.conv(F.substring(F.md5(F.concat(F.lit(f"{at}:"), key.cast("string"))), 1, 8), 16, 10).cast("long") % n
+    form = F.element_at(F.array(*[F.lit(f) for f in forms]), (roll("form", len(forms)) + 1).cast("int"))
+    parts = []
+    for i in range(max(map(len, forms))):
+        sign = F.substring(form, i + 1, 1)
+        letter = F.lit("")
+        for category, of in letters.items():
+            letter = F.when(sign == category, F.substr(F.lit(of), (roll(i, len(of)) + 1).cast("int"), F.lit(1))).otherwise(letter)
+        parts.append(letter)
+    name = F.concat(*parts)
+    for old, new in rules:
+        if old in new:
+            raise ValueError(f"the rule {old} -> {new} never ends")
+        name = _rewritten(name, old, new)
+    return F.initcap(name)
+
+
+def _rewritten(name: Column, old: str, new: str) -> Column:
+    """name with `old` replaced by `new` until it no longer occurs."""
+    return F.aggregate(F.sequence(F.lit(0), F.length(name)), name, lambda t, _: F.when(F.contains(t, F.lit(old)), F.replace(t, F.lit(old), F.lit(new))).otherwise(t))

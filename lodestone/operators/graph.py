@@ -38,8 +38,11 @@ class _Seen:
         return reduce(DataFrame.unionByName, self.parts)
 
 
-def closure(edges: DataFrame, max_hops: int | None = None) -> DataFrame:
-    """(src, dst, hops): the fewest hops from src to every node it reaches, if given within max_hops."""
+def closure(edges: DataFrame, max_hops: int | None = None, ignored: DataFrame | None = None, important: DataFrame | None = None) -> DataFrame:
+    """(src, dst, hops): the fewest hops from src to every node it reaches, if given within max_hops. No way leads
+    over nodes that are ignored (`node`); only important nodes (`node`) are given as dst."""
+    if ignored is not None:
+        edges = edges.join(ignored.select(F.col("node").alias("src")), "src", "left_anti").join(ignored.select(F.col("node").alias("dst")), "dst", "left_anti")
     edges = checkpointed(edges.select("src", "dst").filter("src <> dst").distinct())
     front = edges.withColumn("hops", F.lit(1))
     seen = _Seen(front)
@@ -49,7 +52,7 @@ def closure(edges: DataFrame, max_hops: int | None = None) -> DataFrame:
         if front.isEmpty():
             break
         seen.add(front)
-    return seen.all()
+    return seen.all() if important is None else seen.all().join(important.select(F.col("node").alias("dst")), "dst", "left_semi").select("src", "dst", "hops")
 
 
 def shortest_paths(edges: DataFrame, max_hops: int | None = None) -> DataFrame:

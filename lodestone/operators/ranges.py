@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,3 +36,17 @@ def windowed_levels(rows: DataFrame, required: str, levels: DataFrame, level: st
     low = F.when(F.col(level) > window, F.col(level) - window).otherwise(0)
     asked = levels.select(level, F.explode(F.sequence(low, F.col(level))).alias("_req"))
     return rows.join(asked, F.col(required) == F.col("_req")).drop("_req")
+
+
+#: Cells that an enumeration may have; its axes are dimensions of fixed size.
+CELLS = 1_000_000
+
+
+def enumerated(*axes: DataFrame) -> DataFrame:
+    """All combinations of a few small axes; an error beyond CELLS of them."""
+    total = 1
+    for axis in axes:
+        total *= axis.count()
+    if total > CELLS:
+        raise ValueError(f"{total} combinations")
+    return reduce(lambda a, b: a.crossJoin(F.broadcast(b)), axes)

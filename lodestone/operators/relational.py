@@ -99,3 +99,9 @@ def with_columns(df: DataFrame, columns: dict[str, tuple[str, object]]) -> DataF
     """M9: df with those of the columns (name: type and default) that it has not yet; those it has stay as they are."""
     have = {c.lower() for c in df.columns}
     return df.withColumns({c: F.lit(default).cast(kind) for c, (kind, default) in columns.items() if c.lower() not in have})
+
+
+def by_level_and_type(items: DataFrame, level: str, kind: str, low: int, high: int, predicate: Column, kinds: Sequence[str] | None = None) -> DataFrame:
+    """items of levels low..high, of some types if given, for which the caller's predicate holds."""
+    found = items.filter(F.col(level).between(low, high) & predicate)
+    return found if kinds is None else found.filter(F.col(kind).isin(*kinds))

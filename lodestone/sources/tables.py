@@ -105,3 +105,8 @@ def save_values(wide: DataFrame, entity: str, keys: list[str]) -> DataFrame:
 def commands(spark: SparkSession, host: str, port: int) -> DataFrame:
     """Newline-framed commands from a socket, for development."""
     return spark.readStream.format("socket").option("host", host).option("port", port).load()
+
+
+def save_partitions(rows: DataFrame, path: str, by: str) -> None:
+    """Rows take the place of what the table has of their values of `by`; other partitions stay as they are."""
+    rows.write.mode("overwrite").partitionBy(by).option("partitionOverwriteMode", "dynamic").parquet(path)

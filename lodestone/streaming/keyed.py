@@ -61,10 +61,76 @@ def value_store(stream: DataFrame, late: str = "0 seconds") -> DataFrame:
     return rows.transformWithStateInPandas(Store(), "key string, value long, at long, alive boolean", "Update", "EventTime")
 
 
-def last_changes(changes: DataFrame) -> DataFrame:
-    """What a stream of changes leaves when all that is there has been read: each key's last change. Every batch's changes
-    are written with the batch's number to the shared folder."""
-    spark = changes.sparkSession
+def delayed(stream: DataFrame, late: str = "0 seconds") -> DataFrame:
+    """K3, K4: commands (key string, at timestamp, seq long, delay long, in seconds) come out as (key, seq, due) when the
+    watermark passes at + delay; until then they are state, a timer each."""
+
+    class Queue(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.waiting = handle.getMapState("waiting", "seq long", "due long")
+
+        def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+            for some in rows:
+                for at, seq, delay in zip(some["at"], some["seq"], some["delay"], strict=True):
+                    due = int(at.value // 1000) + int(delay) * 1_000_000
+                    self.waiting.updateValue((int(seq),), (due,))
+                    self.handle.registerTimer(-(-due // 1000))
+            return iter(())
+
+        def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
+            until = expiredTimerInfo.getExpiryTimeInMs() * 1000
+            ready = [(seq[0], due[0]) for seq, due in self.waiting.iterator() if due[0] <= until]
+            for seq, _ in ready:
+                self.waiting.removeKey((seq,))
+            if ready:
+                yield pd.DataFrame({"key": [key[0]] * len(ready), "seq": [x[0] for x in ready], "due": [x[1] for x in ready]})
+
+        def close(self) -> None:
+            pass
+
+    return stream.withWatermark("at", late).groupBy("key").transformWithStateInPandas(Queue(), "key string, seq long, due long", "Append", "EventTime")
+
+
+def throttled(stream: DataFrame, interval_seconds: int, late: str = "0 seconds") -> DataFrame:
+    """K5: of each key's rows (key string, at timestamp, seq long) those at least the interval after the last one let
+    through, as (key, seq). A key's state goes when the watermark has passed the interval."""
+
+    class Gate(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.last = handle.getValueState("last", "at long, until long")
+
+        def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+            ordered = sorted((int(at.value // 1000), int(seq)) for some in rows for at, seq in zip(some["at"], some["seq"], strict=True))
+            state = self.last.get()
+            last, until = state if state is not None else (None, 0)
+            kept = []
+            for at, seq in ordered:
+                if last is None or at - last >= interval_seconds * 1_000_000:
+                    kept.append(seq)
+                    last = at
+            if kept:
+                if until:
+                    self.handle.deleteTimer(until)
+                until = -(-(last + interval_seconds * 1_000_000) // 1000)
+                self.last.update((last, until))
+                self.handle.registerTimer(until)
+                yield pd.DataFrame({"key": [key[0]] * len(kept), "seq": kept})
+
+        def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
+            self.last.clear()
+            return iter(())
+
+        def close(self) -> None:
+            pass
+
+    return stream.withWatermark("at", late).groupBy("key").transformWithStateInPandas(Gate(), "key string, seq long", "Append", "EventTime")
+
+
+def emitted(rows: DataFrame, mode: str = "append") -> DataFrame:
+    """All rows that a keyed stream gives until everything that is there has been read, with the number of their batch."""
+    spark = rows.sparkSession
     folder = f"{shared_folder(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
@@ -73,10 +139,14 @@ def last_changes(changes: DataFrame) -> DataFrame:
         batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{folder}/result/{number}")
 
     try:
-        query = changes.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start()
+        query = rows.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start()
         query.awaitTermination()
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
-    rows = spark.read.parquet(f"{folder}/result/*")
+    return spark.read.parquet(f"{folder}/result/*")
+
+
+def last_changes(changes: DataFrame) -> DataFrame:
+    """What a stream of changes leaves when all that is there has been read: each key's last change."""
     newest = Window.partitionBy("key").orderBy(F.desc("batch"), F.asc("alive"))
-    return rows.withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n", "batch")
+    return emitted(changes, "update").withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n", "batch")

@@ -1,11 +1,9 @@
-"""Structured Streaming: keyed state with a lifetime, event-time windows, and bounded queues."""
+"""Structured Streaming: event streams, windows, and replays to the end of what is there. Keyed state is in keyed.py."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,22 +40,3 @@ def windowed(stream: DataFrame, width: str, late: str) -> DataFrame:
 def last_values(stream: DataFrame, late: str) -> DataFrame:
     """K2: the newest row of each user and type, by event time and id."""
     return stream.withWatermark("ts", late).groupBy("user_id", "event_type").agg(F.max_by("value", F.struct("ts", "event_id")).alias("value"), F.max("ts").alias("ts"))
-
-
-def throttled(stream: DataFrame, interval_seconds: float) -> DataFrame:
-    """K5: of each user's events those at least the interval after the last one let through (state kept per user)."""
-    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        rows = pd.concat(list(batches)).sort_values(["ts", "event_id"])
-        kept = []
-        for row in rows.itertuples():
-            at = row.ts.timestamp()
-            if last is None or at - last >= interval_seconds:
-                kept.append((key[0], row.event_id))
-                last = at
-        state.update((last,))
-        yield pd.DataFrame(kept, columns=["user_id", "event_id"])
-
-    return stream.select("user_id", "event_id", "ts").groupBy("user_id").applyInPandasWithState(run, "user_id long, event_id long", "last double", "append", GroupStateTimeout.NoTimeout)

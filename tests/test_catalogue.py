@@ -1,7 +1,7 @@
 import __spark_entry__
 import pytest
 
-from lodestone.plans import catalogue, extended, rules, state, travel  # noqa: F401  (they register their queries)
+from lodestone.plans import catalogue, extended, reports, rules, state, travel  # noqa: F401  (they register their queries)
 from tests.conftest import same_rows
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import text as X
 from lodestone.operators import folds, graph, relational, scoring, sequences, spatial
-from lodestone.plans import catalogue, extended, rules, state, travel  # noqa: F401  (they register their queries)
+from lodestone.plans import catalogue, extended, reports, rules, state, travel  # noqa: F401  (they register their queries)
 from lodestone.sources import tables
 from lodestone.streaming import replay
 
@@ -86,12 +86,11 @@ def test_pid_holds_the_integral_while_clamped(spark):
     assert folds.controlled(rows, "k", "i", "e", 1.0, 1.0, 0.0, -15.0, 15.0).first()["out"] == 15.0
 
 
-def test_throttled_stream(spark, tmp_path):
-    at = dt.datetime(2024, 1, 1)
-    rows = [(i, at + dt.timedelta(seconds=s), u, "x", 1.0, "") for i, (u, s) in enumerate([(1, 0), (1, 5), (1, 12), (2, 3), (2, 4)])]
-    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
-    kept = replay.replayed(replay.throttled(replay.event_stream(spark, str(tmp_path)), 10.0), "append")
-    assert values(kept) == [(1, 0), (1, 2), (2, 3)]
+def test_partitions_are_replaced_alone(spark, tmp_path):
+    old = spark.createDataFrame([(1, "a", "x"), (1, "b", "x"), (2, "a", "x")], "guid long, key string, value string")
+    tables.save_partitions(old, f"{tmp_path}/kv", "guid")
+    tables.save_partitions(spark.createDataFrame([(1, "c", "y")], old.schema), f"{tmp_path}/kv", "guid")
+    assert values(spark.read.parquet(f"{tmp_path}/kv").select("guid", "key", "value")) == [(1, "c", "y"), (2, "a", "x")]
 
 
 def test_sources(spark, tmp_path):
