@@ -46,6 +46,8 @@ BATCH_BYTES = 32 << 20
 #: Of them, those decoded and held against sentencepiece at a time, and the parts encoded at a time.
 CHECKED_BYTES = 1 << 20
 PARTS = 20_000
+#: Parts that are the words of one input.
+WORDS = 500
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -246,16 +248,32 @@ def _numbers(lists: list[list[int]]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(np.fromiter(chain.from_iterable(lists), np.int32, int(starts[-1]))))
 
 
+def _coded(data: bytes, parts: pa.Array) -> pa.Array:
+    """The ids of different parts. They go through the tokenizer as the words of long inputs, which costs less than an input
+    each; what each has is told by the bytes that pieces stand for. If those don't add up (unknown pieces), parts go alone."""
+    tokenizer = _part_encoder(data)
+    words = pc.replace_substring(parts, " ", MARK).to_pylist()
+    grouped = [words[lo : lo + WORDS] for lo in range(0, len(words), WORDS)]
+    ids = _numbers([e.ids for e in tokenizer.encode_batch_fast(grouped, is_pretokenized=True, add_special_tokens=False)]).values
+    covered = np.cumsum(_piece_sizes(data)[ids.to_numpy()])
+    wanted = np.cumsum(pc.binary_length(parts).to_numpy(zero_copy_only=False).astype(np.int64))
+    ends = np.searchsorted(covered, wanted) + 1
+    if len(covered) and len(wanted) and ends[-1] == len(covered) and (covered[ends - 1] == wanted).all():
+        return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), ids)
+    return _numbers([e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)])
+
+
+@lru_cache(maxsize=2)
+def _piece_sizes(data: bytes) -> np.ndarray:
+    return pc.binary_length(_piece_texts(data)).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def _by_parts(data: bytes, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
     """ids and round_trip of texts: each different part goes through the tokenizer once."""
-    tokenizer = _part_encoder(data)
     parts, rows = _cut(_normalised(data, texts))
     coded = parts.dictionary_encode()
     del parts
-    different = pc.replace_substring(coded.dictionary, " ", MARK)
-    lists = []
-    for lo in range(0, len(different), PARTS):
-        lists.append(_numbers([e.ids for e in tokenizer.encode_batch_fast(different.slice(lo, PARTS).to_pylist(), add_special_tokens=False)]))
+    lists = [_coded(data, coded.dictionary.slice(lo, PARTS)) for lo in range(0, len(coded.dictionary), PARTS)]
     taken = (pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.int32()))).take(coded.indices)
     ends = taken.offsets.to_numpy()[rows] if len(taken) else np.zeros(len(rows), np.int32)
     ids = pa.ListArray.from_arrays(pa.array(ends), taken.values)

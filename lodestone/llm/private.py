@@ -219,7 +219,7 @@ def confident_patterns(edges: DataFrame, support: int = SUPPORT, confidence: flo
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (all of them), n_added."""
+    """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (all of them), n_added, n_spans (how many all are)."""
     text = text_of(text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
     base = written(rows.mapInArrow(_base, _SCHEMA), "base")
@@ -237,7 +237,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     every = F.array_sort(F.concat(split, more))
     spans = F.when(F.col("_added").isNull(), F.col("base")).otherwise(F.array_join(F.transform(every, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","))
     added_size = F.when(F.col("_added").isNull(), 0).otherwise(F.size("_added"))
-    return joined.select("doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", spans.alias("spans"), added_size.cast("long").alias("n_added"))
+    total = F.size(split) + added_size
+    return joined.select("doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", spans.alias("spans"), added_size.cast("long").alias("n_added"), total.cast("long").alias("n_spans"))
 
 
 def op7_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:

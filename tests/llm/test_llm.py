@@ -112,6 +112,7 @@ def test_private(odd, none):
     by = {r["doc_id"]: r for r in private.find(odd).collect()}
     assert by[9]["spans"] == "email:5:22,phone:26:43,ip:56:65,card:67:86"
     assert by[3]["base_sha256"] == hashlib.sha256(b"").hexdigest()
+    assert (by[9]["n_added"], by[9]["n_spans"], by[3]["n_spans"]) == (0, 4, 0)
     assert private.find(odd).count() == len(ODD) and private.find(none).count() == 0
 
 
@@ -615,6 +616,7 @@ def test_private_finds_unseen_identifiers(spark, sf):
     docs = [(i, t) for i, t in enumerate(texts + clean)]
     got = {r["doc_id"]: r["spans"] for r in private.find(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     recall = sum(span in got[i].split(",") for i, span in planted) / len(planted)
+    print(f"recall of {len(planted)} planted identifiers: {recall:.3f}")
     assert recall >= 0.9, recall
     assert all(got[len(texts) + i] == "" for i in range(len(clean)))
     _, want = scored_by_hand([t for _, t in docs])
