@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions import text as X
-from lodestone.operators import ranges, relational, scoring, sequences
+from lodestone.operators import ranges, relational, scoring, sequences, spatial
 from lodestone.plans.catalogue import POSITIONS, count, positions, query
 from lodestone.sources import tables
 from lodestone.sources.tables import table
@@ -71,16 +71,15 @@ def custom_rules(s: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""
-WITH p AS ({POSITIONS}), c AS (SELECT a.id AS bot, b.id AS target, b.id % 5 AS assists, round(pow(a.x - b.x, 2) + pow(a.y - b.y, 2), 6) AS d FROM p a JOIN p b ON a.map_id = b.map_id AND a.id <> b.id WHERE a.id % 20 = 0 AND b.id % 60 BETWEEN 10 AND 50 AND b.x > -0.3 AND b.id % 5 < 3)
+WITH p AS ({POSITIONS}), c AS (SELECT a.id AS bot, b.id AS target, b.id % 5 AS assists, round(pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2), 6) AS d FROM p a JOIN p b ON a.map_id = b.map_id AND a.id <> b.id
+  WHERE pow(a.x - b.x, 2) + pow(a.y - b.y, 2) + pow(a.z - b.z, 2) <= 0.0225 AND b.id % 60 BETWEEN 10 AND 50 AND b.x > -0.3 AND b.id % 5 < 3)
 SELECT bot, target, CAST(assists AS BIGINT) AS assists FROM c QUALIFY row_number() OVER (PARTITION BY bot ORDER BY assists, d, target) = 1""")
 def grind_target(s: SparkSession, d: str) -> DataFrame:
-    """The nearest target that nobody fights; if there is none, one that one other fights, and so on up to two (each
-    bot is a point with an id that 20 divides). The least level that has a target decides, so one ordering says it."""
-    p = positions(s, d)
-    bots = p.filter("id % 20 = 0").select(F.col("id").alias("bot"), "map_id", F.col("x").alias("bx"), F.col("y").alias("by"))
-    able = p.filter("id % 60 BETWEEN 10 AND 50 AND x > -0.3 AND id % 5 < 3").select(F.col("id").alias("target"), "map_id", (F.col("id") % 5).alias("assists"), "x", "y")
-    d2 = F.round(F.pow(F.col("bx") - F.col("x"), 2) + F.pow(F.col("by") - F.col("y"), 2), 6)
-    found = bots.join(able, "map_id").filter("bot <> target").groupBy("bot").agg(F.min(F.struct(F.col("assists"), d2.alias("d"), F.col("target"))).alias("t"))
+    """everybody's nearest target in reach that nobody fights; if there is none, one that one other fights, and so on up to
+    two. The least level that has a target decides, so one ordering says it."""
+    near = spatial.within(positions(s, d), "id", "map_id", 0.15).select(F.col("a").alias("bot"), F.col("b").alias("target"), (F.col("b") % 5).alias("assists"), F.round("d2", 6).alias("d"))
+    able = positions(s, d).filter("id % 60 BETWEEN 10 AND 50 AND x > -0.3 AND id % 5 < 3").select(F.col("id").alias("target"))
+    found = near.join(able, "target", "left_semi").groupBy("bot").agg(F.min(F.struct("assists", "d", "target")).alias("t"))
     return found.select("bot", "t.target", "t.assists")
 
 
