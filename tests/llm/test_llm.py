@@ -7,6 +7,8 @@ import zlib
 
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -927,3 +929,36 @@ def test_buckets_follow_clustered_keys(spark):
     assert max(Counter(b for _, b in places).values()) < 150
     few = spark.createDataFrame([(1,), (2,), (1,)], "k long")
     assert {r["b"] for r in quantile_buckets(few, "k", "b", 3).collect()} == {0}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab ▁\n\t\x00é☃😀1.  "), max_size=30) | st.text(max_size=30), max_size=6))
+def test_any_text_is_encoded_as_sentencepiece_does(texts):
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts]
+    data = open(pieces.MODEL_PATH, "rb").read()
+    ids, back = pieces._by_parts(data, pa.array(texts, pa.string()))
+    peer = pieces._peer(data)
+    assert ids.to_pylist() == [peer.encode(t) for t in texts]
+    assert back.to_pylist() == [peer.decode(peer.encode(t)) == t for t in texts]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from('0123456789012+-() .@ab:[]"/\n·'), max_size=80))
+def test_added_instances_never_overlap_base_spans_or_each_other(text):
+    base = private.base_spans(text)
+    found = {(s, e, seed and k != "secret") for _, _, k, seed, s, e in private.occurrences(text, base)}
+    more = sorted((s, e) for s, e, seed in found if not seed)
+    assert all(0 <= s < e <= len(text) for s, e in more)
+    assert all(a[1] <= b[0] for a, b in zip(more, more[1:], strict=False))
+    assert not any(s < end and start < e for s, e in more for start, end, _ in base)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<p>", "</p>", "<div class=ad>", "<div>", "</div>", "<article>", "</article>", "<b>", "</b>", "<li>", "<ul>", "</ul>", "<td>", "<table>", "</table>", "<head>", "<body>", "<script>", "</script>", "x", " y ", "&lt;", "<", "<!--", "-->", "<br>", "<form>", "<main>", "<h1 id='a b'>", "<a href='"]), max_size=40))
+def test_any_markup_gives_folded_blocks(parts):
+    page = pages.Page("".join(parts), stats=True)
+    for kept, whole, _ in page.blocks:
+        assert whole and whole == " ".join(whole.split()) and kept == " ".join(kept.split())
+    assert len(page._stack) == 1 and not any(page._at.values())
+    text = page.text()
+    assert text == text.strip() and "\n\n\n" not in text
