@@ -80,3 +80,15 @@ def weighted(rows: DataFrame, key: str, kind: str, stats: list[str], weights: Da
     """Per key the sum of its stats times the weights (kind, stat, weight) of its kind; a stat without a weight counts 0."""
     long = rows.select(key, kind, F.explode(F.array(*[F.struct(F.lit(c).alias("stat"), F.col(c).alias("v")) for c in stats])).alias("x")).select(key, kind, "x.stat", "x.v")
     return long.join(weights, [kind, "stat"], "left").groupBy(key).agg(F.coalesce(F.sum(F.col("v") * F.col("weight")), F.lit(0.0)).alias("score"))
+
+
+def from_both_ends(pool: DataFrame, group: str, needs: DataFrame, need: str, *order: str) -> DataFrame:
+    """Of each group's pool the first `need` rows and the last `need` rows, by order, with `taken` (first or last; first
+    where both hold). No more than the largest need is ever ranked of a group's two ends."""
+    most = needs.agg(F.max(need)).first()[0] or 0
+    ends, rows = None, pool.withColumn("_row", F.monotonically_increasing_id())
+    for name, by in (("first", [F.asc(c) for c in order]), ("last", [F.desc(c) for c in order])):
+        end = rows.withColumn("_r", F.row_number().over(Window.partitionBy(group).orderBy(*by))).filter(F.col("_r") <= most).withColumn("taken", F.lit(name))
+        ends = end if ends is None else ends.unionByName(end)
+    kept = ends.join(needs, group).filter(F.col("_r") <= F.col(need))
+    return kept.groupBy("_row").agg(F.min(F.struct("taken", *pool.columns)).alias("_k")).select("_k.*")

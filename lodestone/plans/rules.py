@@ -316,3 +316,28 @@ def listened_report(s: SparkSession, d: str) -> DataFrame:
     report = lambda s, d: table(s, d, "nation").groupBy("n_regionkey").agg(count().alias("n"))
     return listened(report, after=lambda df: df.withColumn("seen", F.lit("after")))(s, d)
 
+
+
+@query("""
+WITH r AS (SELECT c_nationkey, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey) AS low, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey DESC) AS high FROM customer WHERE c_acctbal > 0),
+n AS (SELECT n_nationkey, n_regionkey + 1 AS need FROM nation)
+SELECT c_nationkey, c_custkey, CASE WHEN low <= need THEN 'first' ELSE 'last' END AS taken FROM r JOIN n ON n_nationkey = c_nationkey WHERE low <= need OR high <= need""")
+def pool_assignment(s: SparkSession, d: str) -> DataFrame:
+    """From each nation's pool as many of the lowest and of the highest places as it needs; pools are cut to the most that any needs before they are ordered."""
+    needs = table(s, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), (F.col("n_regionkey") + 1).alias("need"))
+    pool = table(s, d, "customer").filter("c_acctbal > 0").select("c_nationkey", "c_custkey", "c_acctbal")
+    return scoring.from_both_ends(pool, "c_nationkey", needs, "need", "c_acctbal", "c_custkey").select("c_nationkey", "c_custkey", "taken")
+
+
+@query("""
+SELECT p_partkey, round((p_size * 2 + p_retailprice / 100) * CASE WHEN p_type LIKE 'SMALL%' THEN 0.1 ELSE 1 END * CASE WHEN p_size % 8 = 0 THEN 1.05 WHEN p_size % 8 < 6 THEN 1 + 0.1 * (p_size % 8) ELSE 1 END * (1 + 0.03 * (p_partkey % 4))
+  * CASE WHEN p_partkey % 6 = 0 THEN 3 ELSE 1 END * (0.25 * (p_partkey % 5) / 4 + 0.75), 4)::DOUBLE AS score FROM part""")
+def modified_scores(s: SparkSession, d: str) -> DataFrame:
+    """A score times its modifiers: a penalty by type, the set, the sockets, a matched speed, and a blend by quality."""
+    size, key = F.col("p_size"), F.col("p_partkey")
+    worn = size % 8
+    factors = [
+        F.when(F.col("p_type").startswith("SMALL"), 0.1).otherwise(1.0), F.when(worn == 0, 1.05).when(worn < 6, 1 + 0.1 * worn).otherwise(1.0), 1 + 0.03 * (key % 4),
+        F.when(key % 6 == 0, 3.0).otherwise(1.0), 0.25 * (key % 5) / 4 + 0.75,
+    ]
+    return table(s, d, "part").select("p_partkey", F.round(scoring.product([size * 2 + F.col("p_retailprice") / 100, *factors]), 4).alias("score"))
