@@ -330,8 +330,8 @@ def pool_assignment(s: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-SELECT p_partkey, round((p_size * 2 + p_retailprice / 100) * CASE WHEN p_type LIKE 'SMALL%' THEN 0.1 ELSE 1 END * CASE WHEN p_size % 8 = 0 THEN 1.05 WHEN p_size % 8 < 6 THEN 1 + 0.1 * (p_size % 8) ELSE 1 END * (1 + 0.03 * (p_partkey % 4))
-  * CASE WHEN p_partkey % 6 = 0 THEN 3 ELSE 1 END * (0.25 * (p_partkey % 5) / 4 + 0.75), 4)::DOUBLE AS score FROM part""")
+SELECT p_partkey, round((p_size * 2 + p_retailprice / 100) * CASE WHEN p_type LIKE 'SMALL%' THEN 0.1::DOUBLE ELSE 1 END * CASE WHEN p_size % 8 = 0 THEN 1.05::DOUBLE WHEN p_size % 8 < 6 THEN 1 + 0.1::DOUBLE * (p_size % 8) ELSE 1 END * (1 + 0.03::DOUBLE * (p_partkey % 4))
+  * CASE WHEN p_partkey % 6 = 0 THEN 3 ELSE 1 END::DOUBLE * (0.25::DOUBLE * (p_partkey % 5) / 4 + 0.75::DOUBLE), 4)::DOUBLE AS score FROM part""")
 def modified_scores(s: SparkSession, d: str) -> DataFrame:
     """A score times its modifiers: a penalty by type, the set, the sockets, a matched speed, and a blend by quality."""
     size, key = F.col("p_size"), F.col("p_partkey")
