@@ -331,7 +331,7 @@ def pool_assignment(s: SparkSession, d: str) -> DataFrame:
 
 @query("""
 SELECT p_partkey, round((p_size * 2 + p_retailprice / 100) * CASE WHEN p_type LIKE 'SMALL%' THEN 0.1::DOUBLE ELSE 1 END * CASE WHEN p_size % 8 = 0 THEN 1.05::DOUBLE WHEN p_size % 8 < 6 THEN 1 + 0.1::DOUBLE * (p_size % 8) ELSE 1 END * (1 + 0.03::DOUBLE * (p_partkey % 4))
-  * CASE WHEN p_partkey % 6 = 0 THEN 3 ELSE 1 END::DOUBLE * (0.25::DOUBLE * (p_partkey % 5) / 4 + 0.75::DOUBLE), 4)::DOUBLE AS score FROM part""")
+  * CASE WHEN p_partkey % 6 = 0 THEN 3 ELSE 1 END::DOUBLE * (0.25::DOUBLE * (p_partkey % 5) / 4 + 0.75::DOUBLE), 12)::DOUBLE AS score FROM part""")
 def modified_scores(s: SparkSession, d: str) -> DataFrame:
     """A score times its modifiers: a penalty by type, the set, the sockets, a matched speed, and a blend by quality."""
     size, key = F.col("p_size"), F.col("p_partkey")
@@ -340,4 +340,4 @@ def modified_scores(s: SparkSession, d: str) -> DataFrame:
         F.when(F.col("p_type").startswith("SMALL"), 0.1).otherwise(1.0), F.when(worn == 0, 1.05).when(worn < 6, 1 + 0.1 * worn).otherwise(1.0), 1 + 0.03 * (key % 4),
         F.when(key % 6 == 0, 3.0).otherwise(1.0), 0.25 * (key % 5) / 4 + 0.75,
     ]
-    return table(s, d, "part").select("p_partkey", F.round(scoring.product([size * 2 + F.col("p_retailprice") / 100, *factors]), 4).alias("score"))
+    return table(s, d, "part").select("p_partkey", F.round(scoring.product([size * 2 + F.col("p_retailprice") / 100, *factors]), 12).alias("score"))
