@@ -114,7 +114,7 @@ def unused_names_anti(s: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_name LIKE 'Customer#00000%')")
 def semi_prefix_delete(s: SparkSession, d: str) -> DataFrame:
-    """Orders of customers by a name prefix."""
+    """Orders of customers by a name prefix."""
     named = table(s, d, "customer").filter(F.col("c_name").startswith("Customer#00000"))
     return relational.having_parent(table(s, d, "orders").select("o_orderkey", "o_custkey"), named, "o_custkey", "c_custkey").agg(count().alias("n"), F.sum("o_orderkey").alias("keys"))
 
@@ -247,7 +247,7 @@ def topn_avg(s: SparkSession, d: str) -> DataFrame:
 SELECT p_type, round(sum(CASE WHEN p_size <= 10 THEN p_size * 1.0 WHEN p_size <= 30 THEN p_size * 2.5 ELSE p_size * 4.0 END * least(4, greatest(0.75, p_retailprice / 1000))), 2) AS power,
   CASE WHEN count(*) >= 25 THEN 1.2 ELSE 1.0 END::DOUBLE AS bonus FROM part GROUP BY 1""")
 def piecewise_power(s: SparkSession, d: str) -> DataFrame:
-    """Piecewise by size, clamped ratio, bonus for large groups."""
+    """Piecewise by size, clamped ratio, bonus for large groups."""
     size = F.col("p_size")
     power = size * scoring.ladder(size, [(10, 1.0), (30, 2.5)], 4.0) * F.least(F.lit(4.0), F.greatest(F.lit(0.75), F.col("p_retailprice") / 1000))
     return table(s, d, "part").groupBy("p_type").agg(total(power, "power"), F.when(count() >= 25, 1.2).otherwise(1.0).alias("bonus"))

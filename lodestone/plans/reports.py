@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions import text as X
 from lodestone.operators import graph, ranges, relational, scoring
 from lodestone.plans.catalogue import EDGES_SQL, POSITIONS, all_edges, count, doubled, positions, query
+from lodestone.session import shared_folder
+from lodestone.sources import tables
 from lodestone.sources.tables import table
 from lodestone.streaming import keyed, replay
 
@@ -178,3 +183,45 @@ def enumerated_cells(s: SparkSession, d: str) -> DataFrame:
     key = F.col("p_partkey")
     have = table(s, d, "part").groupBy((key % 11 + 1).alias("class"), F.col("p_size").cast("long").alias("level"), (key % 5).alias("quality")).agg(count().alias("n"))
     return ranges.enumerated(*axes).join(have, ["class", "level", "quality"], "left").na.fill(0, ["n"])
+
+
+@query("""
+SELECT 'replaced' AS what, count(*) AS n, CAST(sum(n_nationkey) AS BIGINT) AS keys FROM nation UNION ALL SELECT 'before', count(*), CAST(sum(n_nationkey) AS BIGINT) FROM nation WHERE n_regionkey < 2
+UNION ALL SELECT 'cached', count(*), CAST(sum(r_regionkey) AS BIGINT) FROM region UNION ALL SELECT 'logged', 2 * count(*), CAST(2 * sum(r_regionkey) AS BIGINT) FROM region
+UNION ALL SELECT 'saved', count(*), CAST(sum(CASE WHEN n_regionkey = 1 THEN n_nationkey + 100 ELSE n_nationkey END) AS BIGINT) FROM nation""")
+def stored_tables(s: SparkSession, d: str) -> DataFrame:
+    """A table replaced under a reader that keeps its rows, a cache that is built once, a log that grows, a partition that is saved anew."""
+    folder = f"{shared_folder(s).rstrip('/')}/store-{uuid.uuid4().hex}"
+    nations, regions = table(s, d, "nation").select("n_nationkey", "n_regionkey"), table(s, d, "region").select("r_regionkey")
+    tables.replace_table(nations.filter("n_regionkey < 2"), f"{folder}/t")
+    before = tables.read_table(s, f"{folder}/t")
+    tables.replace_table(nations, f"{folder}/t")
+    cached = tables.load_or_build(s, f"{folder}/c", lambda: regions)
+    cached = tables.load_or_build(s, f"{folder}/c", lambda: regions.filter("false"))
+    for _ in range(2):
+        tables.append_log(regions, f"{folder}/log")
+    logged = s.read.schema("r_regionkey int, written timestamp").csv(f"{folder}/log", header=True)
+    tables.save_partitions(nations, f"{folder}/p", "n_regionkey")
+    tables.save_partitions(nations.filter("n_regionkey = 1").withColumn("n_nationkey", F.col("n_nationkey") + 100), f"{folder}/p", "n_regionkey")
+    saved = s.read.parquet(f"{folder}/p")
+    parts = [("replaced", tables.read_table(s, f"{folder}/t"), "n_nationkey"), ("before", before, "n_nationkey"), ("cached", cached, "r_regionkey"), ("logged", logged, "r_regionkey"), ("saved", saved, "n_nationkey")]
+    return reduce(DataFrame.unionByName, [df.agg(F.lit(what).alias("what"), count().alias("n"), F.sum(key).cast("long").alias("keys")) for what, df, key in parts])
+
+
+@query("""
+SELECT 'region.' || r_regionkey AS key, CASE r_regionkey % 3 WHEN 0 THEN r_name WHEN 1 THEN concat(r_regionkey::BIGINT * 1000000007, ' x') ELSE 'a = b' END AS value, CASE r_regionkey % 3 WHEN 1 THEN r_regionkey::BIGINT * 1000000007 ELSE 0 END AS number FROM region""")
+def settings_read(s: SparkSession, d: str) -> DataFrame:
+    """A file of settings with comments and blank lines, read as keys, values and numbers."""
+    path = f"{shared_folder(s).rstrip('/')}/settings-{uuid.uuid4().hex}"
+    key = F.col("r_regionkey").cast("long")
+    value = F.when(key % 3 == 0, F.col("r_name")).when(key % 3 == 1, F.concat((key * 1000000007).cast("string"), F.lit(" x"))).otherwise("a = b")
+    lines = F.explode(F.array(F.lit("# note = none"), F.lit(""), F.concat(F.lit("region."), key.cast("string"), F.lit(" =  "), value)))
+    table(s, d, "region").select(lines.alias("value")).write.text(path)
+    return tables.settings(s, path)
+
+
+@query("SELECT c_mktsegment, count(*) AS n FROM customer WHERE c_acctbal >= 1000 AND c_nationkey IN (1, 2, 3) AND c_name LIKE 'Customer%' GROUP BY 1")
+def bound_parameters(s: SparkSession, d: str) -> DataFrame:
+    """A query with bound parameters; nothing is spliced into its text."""
+    sql = "SELECT c_mktsegment, count(*) AS n FROM parquet.`{}` WHERE c_acctbal >= :low AND array_contains(:nations, c_nationkey) AND startswith(c_name, :prefix) GROUP BY 1"
+    return tables.parameterised(s, sql.format(f"{d}/customer.parquet"), low=1000, nations=F.array(F.lit(1), F.lit(2), F.lit(3)), prefix="Customer")
