@@ -13,6 +13,8 @@ from lodestone.session import checkpointed
 
 XYZ = ("x", "y", "z")
 BROADCAST_ROWS = 100_000
+#: Points of a group up to which all of its pairs are few.
+WHOLE_GROUP = 1_000
 
 
 def squared(a: str, b: str, axes: Sequence[str] = XYZ) -> Column:
@@ -66,27 +68,27 @@ def nearest(queries: DataFrame, points: DataFrame, query: str, key: str, group:
 
     Queries meet the points of their own and the neighbouring cells of a grid that holds about k points a cell. A query is
     done once its k-th point is nearer than a cell is wide; the others go on with cells twice as wide, at last with one
-    that holds a whole group. Dense groups never meet as a whole.
+    that holds a whole group. Dense groups never meet as a whole: only if no group has more than WHOLE_GROUP points (counted)
+    is one such cell where the search begins.
     """
     left = checkpointed(queries.select(F.col(query).alias("a"), F.col(group).alias("g"), *[F.col(c).alias(f"a{c}") for c in axes]))
     right = checkpointed(points.select(F.col(key).alias("b"), F.col(group).alias("g"), *[F.col(c).alias(f"b{c}") for c in axes]))
-    spans = right.agg(*[F.struct(F.min(f"b{c}").alias("lo"), F.max(f"b{c}").alias("hi")).alias(c) for c in axes]).first()
-    asked = left.agg(*[F.struct(F.min(f"a{c}").alias("lo"), F.max(f"a{c}").alias("hi")).alias(c) for c in axes]).first()
-    if spans[0]["lo"] is None or asked[0]["lo"] is None:
-        extent = 0.0
-    else:
-        extent = max(max(spans[c]["hi"], asked[c]["hi"]) - min(spans[c]["lo"], asked[c]["lo"]) for c in axes)
     most = right.groupBy("g").count().agg(F.max("count")).first()[0] or 0
-    size = max(extent / max(1.0, (most / k) ** (1 / len(axes))), 1e-9)
+    extent, size = 0.0, 1.0
+    if most > WHOLE_GROUP:
+        ends = [x.agg(*[F.struct(F.min(f"{p}{c}").alias("lo"), F.max(f"{p}{c}").alias("hi")) for c in axes]).first() for x, p in ((left, "a"), (right, "b"))]
+        if ends[0][0]["lo"] is not None:
+            extent = max(max(e[i]["hi"] for e in ends) - min(e[i]["lo"] for e in ends) for i in range(len(axes)))
+            size = max(extent / max(1.0, (most / k) ** (1 / len(axes))), 1e-9)
     rank = F.row_number().over(Window.partitionBy("a").orderBy("d2", "b"))
     done = []
     while True:
         last = size > extent
         mine, theirs = left, right
-        for c in axes:
+        for c in axes if most > WHOLE_GROUP else ():
             mine = mine.withColumn(f"c{c}", F.explode(F.array(*[cell(f"a{c}", size) + i for i in (-1, 0, 1)])))
             theirs = theirs.withColumn(f"c{c}", cell(f"b{c}", size))
-        pairs = mine.join(theirs, ["g", *[f"c{c}" for c in axes]]).filter(F.col("a") != F.col("b")).withColumn("d2", F.round(squared("a", "b", axes), 6))
+        pairs = mine.join(theirs, ["g", *[f"c{c}" for c in axes if most > WHOLE_GROUP]]).filter(F.col("a") != F.col("b")).withColumn("d2", F.round(squared("a", "b", axes), 6))
         ranked = checkpointed(pairs.withColumn("rank", rank).filter(F.col("rank") <= k).select("a", "b", "d2", "rank"))
         if last:
             done.append(ranked)

@@ -67,9 +67,10 @@ def route_ends(s: SparkSession, d: str) -> DataFrame:
         return asked.join(found.select(F.col("a").alias(column), F.col("b").alias(node), (F.col("rank") - 1).alias(rank)), column).select("map_id", node, rank)
 
     joined = graph.components(neighbours(s, d))
-    pairs = near("a", "start", "i").join(near("b", "end", "j"), "map_id").select("start", "end").distinct()
+    starts, ends = near("a", "start", "i"), near("b", "end", "j")
+    pairs = starts.join(ends, "map_id").select("start", "end").distinct()
     same = pairs.join(joined.select(F.col("node").alias("start"), "component"), "start").join(joined.select(F.col("node").alias("end"), F.col("component").alias("_c")), "end").filter("component = _c AND start <> end")
-    return graph.paired_ends(near("a", "start", "i"), near("b", "end", "j"), same.select(F.col("start").alias("src"), F.col("end").alias("dst")), "map_id").select("map_id", "start", "end")
+    return graph.paired_ends(starts, ends, same.select(F.col("start").alias("src"), F.col("end").alias("dst")), "map_id").select("map_id", "start", "end")
 
 
 @query(f"""

@@ -177,9 +177,12 @@ def test_pruned_and_budgeted_flows_against_plain_loops(spark, sf):
     assert got.keys() == want.keys() and all(abs(got[e][0] - want[e][0]) < 0.0051 and abs(got[e][1] - want[e][1]) < 1e-6 for e in got)
 
 
-def test_nearest_in_widening_cells(spark):
+@pytest.mark.parametrize("whole", [1_000, 0])
+def test_nearest_in_widening_cells(spark, monkeypatch, whole):
     import random
 
+    monkeypatch.setattr(spatial, "WHOLE_GROUP", whole)
+
     random.seed(4)
     rows = [(i, i % 3, random.choice([0.0, random.random() * 10 ** random.randint(-3, 2)]), random.random(), 0.0) for i in range(240)] + [(900, 7, 1.0, 1.0, 1.0), (901, 8, 0.0, 0.0, 0.0), (902, 8, 500.0, 0.0, 0.0)]
     df = spark.createDataFrame(rows, "id long, g int, x double, y double, z double")
