@@ -496,6 +496,13 @@ def test_isotonic_against_the_minimax_formula():
     assert np.allclose(xs, want_x) and np.allclose(ys, np.maximum.accumulate(want_y))
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("abß1@ _é.-!*$0"), max_size=40))
+def test_mixed_words_are_found_as_the_plain_pattern_finds_them(text):
+    plain = re.findall(r"[^\W\d_]+(?:[0-9@$!*.\-]+[^\W\d_]+)+", text)
+    assert toxicity._MIXED.findall(text) == plain and bool(toxicity._SOME_MIXED.search(text)) == bool(plain)
+
+
 def test_features_by_hand(spark, sf):
     lexicon = {"that": 3.0, "ininin": 1.5, "theco*": 2.0}
     for r in spark.read.parquet(f"{sf}/documents.parquet").limit(60).collect():
