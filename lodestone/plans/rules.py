@@ -341,3 +341,33 @@ def modified_scores(s: SparkSession, d: str) -> DataFrame:
         F.when(key % 6 == 0, 3.0).otherwise(1.0), 0.25 * (key % 5) / 4 + 0.75,
     ]
     return table(s, d, "part").select("p_partkey", F.round(scoring.product([size * 2 + F.col("p_retailprice") / 100, *factors]), 12).alias("score"))
+
+
+@query("""
+WITH q AS (SELECT o_orderkey, CASE o_orderkey % 7 WHEN 0 THEN 'state' WHEN 1 THEN 'state,x' WHEN 2 THEN 'state,-5' WHEN 3 THEN 'dance,' || o_custkey WHEN 4 THEN 'budget,' || o_custkey ELSE 'state,' || o_custkey END AS request, o_custkey FROM orders)
+SELECT o_orderkey, CASE o_orderkey % 7 WHEN 0 THEN 'invalid request' WHEN 1 THEN 'invalid id' WHEN 2 THEN 'invalid id' WHEN 3 THEN 'invalid request' WHEN 4 THEN concat('budget ', CAST(floor(c_acctbal) AS BIGINT)) ELSE concat('state ', c_mktsegment) END AS reply
+FROM q JOIN customer ON c_custkey = o_custkey""")
+def remote_requests(s: SparkSession, d: str) -> DataFrame:
+    """Remote requests 'command,entity id': taken apart, looked up in the snapshot, answered, or refused as invalid request or id."""
+    n, cust = F.col("o_orderkey") % 7, F.col("o_custkey").cast("string")
+    request = F.when(n == 0, "state").when(n == 1, "state,x").when(n == 2, "state,-5").when(n == 3, F.concat(F.lit("dance,"), cust)).when(n == 4, F.concat(F.lit("budget,"), cust)).otherwise(F.concat(F.lit("state,"), cust))
+    asked = table(s, d, "orders").select("o_orderkey", request.alias("request"))
+    parts = asked.withColumn("_p", F.split("request", ",")).withColumn("entity", F.get("_p", F.lit(1)).try_cast("long"))
+    snapshot = table(s, d, "customer").select(F.col("c_custkey").alias("entity"), "c_mktsegment", "c_acctbal", F.lit(True).alias("known"))
+    told = {"state": F.col("c_mktsegment"), "budget": F.floor("c_acctbal").cast("string")}
+    answer = F.when((F.size("_p") != 2) | ~F.col("_p")[0].isin(*told), "invalid request").when(F.col("known").isNull(), "invalid id").otherwise(X.reply(F.col("_p")[0], told))
+    return parts.join(snapshot, "entity", "left").select("o_orderkey", answer.alias("reply"))
+
+
+RULE_LINES = ["click>attack!10,flee!9.5", "view>look!5,wait", "purchase>loot!20", "signup>greet!7,", "error>>broken", "error>a!1!2"]
+
+
+@query("""
+WITH r(event_type, act, rel) AS (VALUES ('click', 'attack', 10.0::DOUBLE), ('click', 'flee', 9.5), ('view', 'look', 5.0), ('view', 'wait', 10.0), ('purchase', 'loot', 20.0), ('signup', 'greet', 7.0))
+SELECT event_type, act, count(*) AS fired, round(max(rel * value), 3) AS best FROM events JOIN r USING (event_type) GROUP BY ALL""")
+def rules_from_text(s: SparkSession, d: str) -> DataFrame:
+    """X15, user-defined rules: lines of text are the rule table; faulty lines give no rules."""
+    lines = s.createDataFrame([(x,) for x in RULE_LINES], "line string").select(X.rule(F.col("line")).alias("r")).filter("r IS NOT NULL")
+    rules = lines.select(F.col("r.trigger").alias("event_type"), F.explode("r.actions").alias("a")).select("event_type", F.col("a.action").alias("act"), "a.rel")
+    fired = table(s, d, "events").select("event_type", "value").join(rules, "event_type")
+    return fired.groupBy("event_type", "act").agg(count().alias("fired"), F.round(F.max(F.col("rel") * F.col("value")), 3).alias("best"))
