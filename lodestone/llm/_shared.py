@@ -8,10 +8,15 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # as `ship` does for the other modules
+
 #: What the contracts call white space, as a Java regular expression.
 WHITE = r"[\x20\x09-\x0D]+"
 
@@ -116,6 +121,17 @@ def joined_with_groups(rows: DataFrame, groups: DataFrame, key: str | list[str],
     return near.unionByName(rest.join(groups.filter(F.col(size) <= least), keys).select(*columns))
 
 
+def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts in `column` have at most `most` bytes together, or of one row: what a task holds at
+    a time follows from bytes, however long the texts of a batch are."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = done = 0
+    while at < batch.num_rows:
+        upto = max(at + 1, int(np.searchsorted(sizes, done + most, side="right")))
+        yield batch.slice(at, upto - at)
+        at, done = upto, int(sizes[upto - 1])
+
+
 def text_of(name: str = "text") -> Column:
     """A null text counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

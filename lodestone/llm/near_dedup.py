@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm._shared import discard, joined_with_groups, read, ship, text_of, work_folder, written
+from lodestone.llm._shared import discard, joined_with_groups, read, ship, slices, text_of, work_folder, written
 from lodestone.llm.components import connected_components
 
 ship(__name__)
@@ -42,8 +42,8 @@ CHUNK = 1 << 20
 #: Members of a mixed bucket up to which pairs across its components are rows; larger ones go by blocks.
 BUCKET = 32
 #: About the most documents and shingles of a block; two blocks meet in a task.
-BLOCK = 1000
-BLOCK_ITEMS = 500_000
+BLOCK = 500
+BLOCK_ITEMS = 250_000
 SEED = 7_919
 
 _U = np.uint64
@@ -168,11 +168,6 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [t.lower() for t in batch.column("text").cast(pa.binary()).to_pylist()]
 
 
-def _batches(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
-    for lo in range(0, batch.num_rows, rows):
-        yield batch.slice(lo, rows)
-
-
 def _lists(parts: list[np.ndarray]) -> pa.Array:
     offsets = np.cumsum([0] + [len(p) for p in parts]).astype(np.int32)
     values = np.concatenate(parts).view(np.int64) if parts else np.empty(0, np.int64)
@@ -181,7 +176,7 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in _batches(whole):
+        for batch in slices(whole, "text"):
             k1, k2, sizes, keys = [], [], [], []
             for words in word_hashes(_texts(batch)):
                 digest = hashlib.blake2b(words.tobytes(), digest_size=16).digest()
@@ -196,7 +191,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in _batches(whole):
+        for batch in slices(whole, "text"):
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists([shingles(w) for w in word_hashes(_texts(batch))])], names=["id", "items"])
 
 

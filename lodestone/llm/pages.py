@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm._shared import read, ship, written
+from lodestone.llm._shared import read, ship, slices, written
 
 ship(__name__)
 
@@ -270,7 +270,7 @@ def host_of(url: str) -> Column:
 
 
 def _styles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (some for whole in batches for some in slices(whole, "html", 4 << 20)):
         hosts, pages, paths, looks, contents = [], [], [], [], []
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
             page = _hash(html)
@@ -299,7 +299,7 @@ def low_branches(rows: DataFrame, gamma: float = GAMMA, pages: int = PAGES, leas
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (some for whole in batches for some in slices(whole, "html", 4 << 20)):
         texts = [Page(html, frozenset(low or ())).text() for html, low in zip(batch.column("html").to_pylist(), batch.column("low").to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm._shared import joined_with_groups, read, ship, text_of, written
+from lodestone.llm._shared import joined_with_groups, read, ship, slices, text_of, written
 
 ship(__name__)
 
@@ -181,7 +181,7 @@ def occurrences(text: str, spans: list[tuple[int, int, str]]) -> Iterator[tuple[
 
 
 def _base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (some for whole in batches for some in slices(whole, "text", 4 << 20)):
         rows = []
         for text in batch.column("text").to_pylist():
             spans = base_spans(text)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm._shared import read, ship, text_of, written
+from lodestone.llm._shared import read, ship, slices, text_of, written
 
 ship(__name__)
 
@@ -221,7 +221,7 @@ def remainder(doc_id: str) -> Column:
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (some for whole in batches for some in slices(whole, "text")):
         terms, labels = [], []
         for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
             found = terms_of(_WORD.findall(text.lower()))
@@ -232,7 +232,7 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _matrix(lexicon: dict[str, float]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (some for whole in batches for some in slices(whole, "text")):
             rows = [features(t, lexicon) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("part"), batch.column("at"), pa.array(rows, pa.list_(pa.float64()))], names=["label", "part", "at", "x"])
 
@@ -271,8 +271,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
 def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for lo in range(0, whole.num_rows, 1000):
-                batch = whole.slice(lo, 1000)
+            for batch in slices(whole, "text", 4 << 20):
                 scores = model.scores(batch.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
@@ -287,10 +286,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def _stay(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            keep = np.concatenate([model.scores(texts[lo : lo + 1000]) < 0.5 for lo in range(0, len(texts), 1000)]) if texts else np.empty(0, bool)
-            yield batch.filter(pa.array(keep))
+        for batch in (some for whole in batches for some in slices(whole, "text", 4 << 20)):
+            yield batch.filter(pa.array(model.scores([t or "" for t in batch.column("text").to_pylist()]) < 0.5))
 
     return run
 
