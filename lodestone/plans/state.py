@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.operators import folds, scoring
-from lodestone.plans.catalogue import count, query
+from lodestone.plans.catalogue import SQL, count, query
 from lodestone.sources.tables import table
 from lodestone.streaming import keyed, replay
 
@@ -194,3 +194,17 @@ def path_ranges(s: SparkSession, d: str) -> DataFrame:
     joined = rows.join(near, "user_id").withColumn("run", F.sum(F.when(F.col("n") == F.col("enter"), F.col("least")).when(F.col("n") > F.col("enter"), F.col("step")).otherwise(0.0)).over(Window.partitionBy("user_id").orderBy("n")))
     inside = (F.col("n") >= F.col("enter")) & (F.round("run", 6) <= 200)
     return joined.groupBy("user_id").agg(F.coalesce(F.min(F.when(F.col("gap") > 60, F.col("n"))), F.max("n")).cast("long").alias("first_out"), F.max(F.when(inside, F.col("n"))).cast("long").alias("last_in"))
+
+
+@query(SQL["bounded_queue"].replace("SELECT event_type, arg_max(done, n)", "SELECT event_type AS key, arg_max(done, n)"))
+def stream_bounded_queue(s: SparkSession, d: str) -> DataFrame:
+    """K8: the queues of bounded_queue, as a stream keeps them."""
+    stream = replay.event_stream(s, d).select(F.col("event_type").alias("key"), F.col("ts").alias("at"), F.col("event_id").alias("seq"))
+    return keyed.last_batches(keyed.bounded_queues(stream, 21_600, capacity=20, batch=8))
+
+
+@query(SQL["loot_set"].replace("SELECT user_id, x.item AS item", "SELECT user_id::VARCHAR AS key, x.item AS item"))
+def stream_loot_set(s: SparkSession, d: str) -> DataFrame:
+    """The sets of loot_set, as a stream keeps them; items really expire."""
+    stream = replay.event_stream(s, d).select(F.col("user_id").cast("string").alias("key"), F.col("ts").alias("at"), F.col("event_id").alias("seq"), (F.floor("value").cast("long") % 9).alias("item"))
+    return keyed.last_batches(keyed.loot_sets(stream, 4, 172_800))

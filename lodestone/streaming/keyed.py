@@ -128,6 +128,65 @@ def throttled(stream: DataFrame, interval_seconds: int, late: str = "0 seconds")
     return stream.withWatermark("at", late).groupBy("key").transformWithStateInPandas(Gate(), "key string, seq long", "Append", "EventTime")
 
 
+def bounded_queues(stream: DataFrame, tick_seconds: int, capacity: int = 10_000, batch: int = 100, warn: float = 0.8) -> DataFrame:
+    """K8: a queue per key (key string, at timestamp, seq long) as a stream: an arrival is dropped if the queue is full, and at
+    the end of a tick that had arrivals a batch is worked off. Each time, the key's figures so far: processed, dropped, left and
+    warned (ticks that ended above the warning share), the running tick counted as ended. State is five numbers a key."""
+
+    class Queue(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.state = handle.getValueState("queue", "tick long, size long, done long, lost long, warned long")
+
+        def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+            state = self.state.get()
+            tick, size, done, lost, warned = state if state is not None else (None, 0, 0, 0, 0)
+            for now in sorted(int(at.value // 1000) // (tick_seconds * 1_000_000) for some in rows for at in some["at"]):
+                if tick is not None and now > tick:
+                    work = min(batch, size)
+                    size, done, warned = size - work, done + work, warned + (size > warn * capacity)
+                tick = now if tick is None else max(tick, now)
+                size, lost = (size + 1, lost) if size < capacity else (size, lost + 1)
+            if tick is None:
+                return
+            self.state.update((tick, size, done, lost, warned))
+            work = min(batch, size)
+            yield pd.DataFrame({"key": [key[0]], "processed": [done + work], "dropped": [lost], "left": [size - work], "warned": [warned + int(size > warn * capacity)]})
+
+        def close(self) -> None:
+            pass
+
+    return stream.withWatermark("at", "0 seconds").groupBy("key").transformWithStateInPandas(Queue(), "key string, processed long, dropped long, left long, warned long", "Update", "EventTime")
+
+
+def loot_sets(stream: DataFrame, capacity: int, lifetime_seconds: int) -> DataFrame:
+    """A set per key (key string, at timestamp, seq long, item long) as a stream: when a row comes to a full set, what is
+    older than the lifetime goes, or, if it is full still, all; the row's item is taken if it is not there. Each time, the whole
+    set as (key, item, seen). The capacity bounds the state."""
+
+    class Loot(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.state = handle.getValueState("set", "items array<long>, seen array<long>")
+
+        def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+            state = self.state.get()
+            kept = dict(zip(*state, strict=True)) if state is not None else {}
+            ordered = sorted((int(at.value // 1000), int(seq), int(item)) for some in rows for at, seq, item in zip(some["at"], some["seq"], some["item"], strict=True))
+            for at, _, item in ordered:
+                if len(kept) >= capacity:
+                    kept = {k: v for k, v in kept.items() if v > at - lifetime_seconds * 1_000_000}
+                if len(kept) >= capacity:
+                    kept = {}
+                kept.setdefault(item, at)
+            if ordered:
+                self.state.update((list(kept), list(kept.values())))
+                yield pd.DataFrame({"key": [key[0]] * len(kept), "item": list(kept), "seen": list(kept.values())})
+
+        def close(self) -> None:
+            pass
+
+    return stream.withWatermark("at", "0 seconds").groupBy("key").transformWithStateInPandas(Loot(), "key string, item long, seen long", "Update", "EventTime")
+
+
 def emitted(rows: DataFrame, mode: str = "append") -> DataFrame:
     """All rows that a keyed stream gives until everything that is there has been read, with the number of their batch."""
     spark = rows.sparkSession
@@ -146,6 +205,13 @@ def emitted(rows: DataFrame, mode: str = "append") -> DataFrame:
     return spark.read.parquet(f"{folder}/result/*")
 
 
+def last_batches(rows: DataFrame) -> DataFrame:
+    """All rows that each key gave in the last batch in which it gave any."""
+    every = emitted(rows, "update")
+    last = every.groupBy("key").agg(F.max("batch").alias("batch"))
+    return every.join(last, ["key", "batch"], "left_semi").drop("batch")
+
+
 def last_changes(changes: DataFrame) -> DataFrame:
     """What a stream of changes leaves when all that is there has been read: each key's last change."""
     newest = Window.partitionBy("key").orderBy(F.desc("batch"), F.asc("alive"))
