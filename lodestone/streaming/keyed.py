@@ -63,33 +63,16 @@ def value_store(stream: DataFrame, late: str = "0 seconds") -> DataFrame:
 
 def delayed(stream: DataFrame, late: str = "0 seconds") -> DataFrame:
     """K3, K4: commands (key string, at timestamp, seq long, delay long, in seconds) come out as (key, seq, due) when the
-    watermark passes at + delay; until then they are state, a timer each."""
-
-    class Queue(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.handle = handle
-            self.waiting = handle.getMapState("waiting", "seq long", "due long")
-
-        def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
-            for some in rows:
-                for at, seq, delay in zip(some["at"], some["seq"], some["delay"], strict=True):
-                    due = int(at.value // 1000) + int(delay) * 1_000_000
-                    self.waiting.updateValue((int(seq),), (due,))
-                    self.handle.registerTimer(-(-due // 1000))
-            return iter(())
-
-        def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[pd.DataFrame]:
-            until = expiredTimerInfo.getExpiryTimeInMs() * 1000
-            ready = [(seq[0], due[0]) for seq, due in self.waiting.iterator() if due[0] <= until]
-            for seq, _ in ready:
-                self.waiting.removeKey((seq,))
-            if ready:
-                yield pd.DataFrame({"key": [key[0]] * len(ready), "seq": [x[0] for x in ready], "due": [x[1] for x in ready]})
-
-        def close(self) -> None:
-            pass
-
-    return stream.withWatermark("at", late).groupBy("key").transformWithStateInPandas(Queue(), "key string, seq long, due long", "Append", "EventTime")
+    watermark passes at + delay; until then each is a row of state of its own (equal ones share a row with their number),
+    so a key may have any number of commands. A command is late if the watermark has passed its due time when it comes;
+    one that is due before it comes waits until the watermark passes `at`. Without at or delay a command is never due.
+    Spark's watermark begins at 1970, so commands due up to then are late."""
+    due, at = F.unix_micros("at") + F.col("delay") * 1_000_000, F.unix_micros("at")
+    rows = stream.withWatermark("at", late).withColumn("due", due).filter("due IS NOT NULL")
+    # the mark of an event time lets the watermark of `at` release rows by `until`; a second watermark is not allowed
+    rows = rows.select("key", "seq", "due", F.timestamp_micros(F.greatest("due", at)).alias("until", metadata={"spark.watermarkDelayMs": 0}))
+    waiting = rows.groupBy("until", "due", "key", "seq").count()
+    return waiting.select("key", "seq", "due", F.explode(F.sequence(F.lit(1), F.col("count"))).alias("_n")).drop("_n")
 
 
 def throttled(stream: DataFrame, interval_seconds: int, late: str = "0 seconds") -> DataFrame:

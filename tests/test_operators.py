@@ -9,7 +9,7 @@ from lodestone.functions import text as X
 from lodestone.operators import folds, graph, relational, scoring, sequences, spatial
 from lodestone.plans import catalogue, extended, reports, rules, state, travel  # noqa: F401  (they register their queries)
 from lodestone.sources import tables
-from lodestone.streaming import replay
+from lodestone.streaming import keyed, replay
 
 
 def values(df):
@@ -221,6 +221,48 @@ def test_value_store_over_several_batches(spark, tmp_path):
     assert values(catalogue.QUERIES["stream_value_store"](spark, str(tmp_path))) == [("3:x", 2), ("6:x", 9)]
 
 
+def events_in_files(spark, folder, batches):
+    """events.parquet, a file for each batch of (event_id, seconds or none, user_id), read in this order."""
+    at = dt.datetime(2024, 1, 1)
+    for i, rows in enumerate(batches):
+        made = spark.createDataFrame([(e, None if t is None else at + dt.timedelta(seconds=t), u, "x", 1.0, "") for e, t, u in rows], "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+        made.coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+        for f in (folder / "events.parquet").glob("*.parquet"):
+            if f.stat().st_mtime > 1000:
+                __import__("os").utime(f, (i + 1, i + 1))
+    return int(at.replace(tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
+
+
+def test_delayed_commands_of_overlapping_files(spark, tmp_path):
+    """No command is lost for coming after later ones, or for being like another one; one without a time is never due."""
+    day = 86_400
+    zero = events_in_files(spark, tmp_path, [[(0, 0, 1), (5, day * 6, 1)], [(2, day, 1), (1, day * 2, None), (4, day * 3, 2), (4, day * 3, 3)], [(0, 0, 1), (10, None, 1), (3, day * 2, 1)]])
+    got = catalogue.QUERIES["stream_delayed_commands"](spark, str(tmp_path))
+    want = [("1", 0, 0), ("1", 0, 0), ("1", 2, 3), ("1", 3, 5), ("1", 5, 6), (None, 1, 3)]  # 4 is due on the seventh day
+    assert sorted(map(repr, (tuple(r) for r in got.collect()))) == sorted(repr((k, e, zero + n * day * 1_000_000)) for k, e, n in want)
+
+
+def test_delayed_commands_wait_for_the_watermark(spark, tmp_path):
+    zero = events_in_files(spark, tmp_path, [[(0, 0, 1), (30, 10, 1)], [(7, 20, 1), (-9, 21, 1)], [(15, 40, 2)]])
+    stream = replay.event_stream(spark, str(tmp_path)).select(F.col("user_id").cast("string").alias("key"), F.col("ts").alias("at"), F.col("event_id").alias("seq"), F.col("event_id").alias("delay"))
+    got = keyed.emitted(keyed.delayed(stream))
+    due = {seq: (r - zero) // 1_000_000 for seq, r in got.select("seq", "due").collect()}
+    assert due == {0: 0, 7: 27, 30: 40, -9: 12}  # the one due at 55 waits still
+    assert [r["seq"] for r in got.orderBy("batch", "due").collect()] == [0, -9, 7, 30] and got.select("batch").distinct().count() == 3
+
+
+def test_delayed_commands_of_one_key(spark):
+    """The work grows in proportion to the commands of a key."""
+    import time
+
+    folder = __import__("tempfile").mkdtemp()
+    spark.range(1, 20_000, 1, 1).select(F.lit("k").alias("key"), F.timestamp_millis(F.col("id") * 1000).alias("at"), F.col("id").alias("seq"), (F.col("id") % 7).alias("delay")).write.parquet(f"{folder}/c")
+    began = time.perf_counter()
+    got = keyed.emitted(keyed.delayed(spark.readStream.schema("key string, at timestamp, seq long, delay long").parquet(f"{folder}/c")))
+    assert {r["seq"] for r in got.collect()} == {i for i in range(1, 20_000) if i + i % 7 <= 19_999}
+    assert time.perf_counter() - began < 60
+
+
 def test_flee_grid_over_all_points(spark, sf):
     def brute(rows):
         best = {}
