@@ -839,6 +839,19 @@ def test_mixing_against_sorted_lists(spark, sf):
             assert abs(part - weight * 5_000) <= 2 * largest + 500
 
 
+def test_mixing_query_tempers_uneven_sources(spark, tmp_path):
+    """One source has ten times the tokens of each of the others; natural shares would leave it more than half."""
+    docs = spark.range(19_000).select(F.col("id").alias("doc_id"), F.lit("a b c d").alias("text"), F.when(F.col("id") < 10_000, "big").otherwise(F.concat(F.lit("s"), F.col("id") % 9)).alias("source"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = mixing.op9_mixing(spark, str(tmp_path)).persist()
+    copies = {r["source"]: r["count"] for r in rows.groupBy("source").count().collect()}
+    assert rows.select("doc_id").distinct().count() == 19_000 and copies["big"] == 10_000
+    assert all(3_990 <= n <= 4_000 for s, n in copies.items() if s != "big") and len(copies) == 10
+    weights = {r["source"]: r["weight"] for r in rows.select("source", "weight").distinct().collect()}
+    assert abs(rows.first()["alpha"] - 0.39794) < 1e-4 and weights["big"] < 0.22  # 1 - log 4 / log 10
+    assert all(abs(n / sum(copies.values()) - weights[s]) < 0.002 for s, n in copies.items())
+
+
 def test_mixing_repeats_rows_and_not_ids(spark):
     rows = [(1, "a b c", "big", "x")] * 3 + [(1, "other text", "big", "x"), (1, "a b c", "big", None), (None, "a b c", "small", "y"), (None, None, "small", "y"), (2, "w " * 40, "big", "y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, slot string")
