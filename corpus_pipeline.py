@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lodestone.llm import exact_dedup, mixing, near_dedup, pieces, toxicity
 from lodestone.llm._shared import discard_since, mark, read, written
 
-MIX_REPETITION = 1.25
+MIX_REPETITION = mixing.REPETITION
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -852,6 +852,12 @@ def test_mixing_query_tempers_uneven_sources(spark, tmp_path):
     assert all(abs(n / sum(copies.values()) - weights[s]) < 0.002 for s, n in copies.items())
 
 
+def test_pipeline_tempers_uneven_sources(spark, sf):
+    docs = spark.range(1_900).select(F.col("id").alias("doc_id"), F.lit("a b c d").alias("text"), F.when(F.col("id") < 1_000, "big").otherwise(F.concat(F.lit("s"), F.col("id") % 9)).alias("source"))
+    copies = {r["source"]: r["count"] for r in dict(corpus_pipeline.STAGES)["mixing"](spark, docs, sf).groupBy("source").count().collect()}
+    assert copies.pop("big") == 1_000 and len(copies) == 9 and all(390 <= n <= 400 for n in copies.values())
+
+
 def test_mixing_repeats_rows_and_not_ids(spark):
     rows = [(1, "a b c", "big", "x")] * 3 + [(1, "other text", "big", "x"), (1, "a b c", "big", None), (None, "a b c", "small", "y"), (None, None, "small", "y"), (2, "w " * 40, "big", "y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, slot string")
