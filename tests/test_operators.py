@@ -251,14 +251,13 @@ def test_delayed_commands_wait_for_the_watermark(spark, tmp_path):
     assert [r["seq"] for r in got.orderBy("batch", "due").collect()] == [0, -9, 7, 30] and got.select("batch").distinct().count() == 3
 
 
-def test_delayed_commands_of_one_key(spark):
+def test_delayed_commands_of_one_key(spark, tmp_path):
     """The work grows in proportion to the commands of a key."""
     import time
 
-    folder = __import__("tempfile").mkdtemp()
-    spark.range(1, 20_000, 1, 1).select(F.lit("k").alias("key"), F.timestamp_millis(F.col("id") * 1000).alias("at"), F.col("id").alias("seq"), (F.col("id") % 7).alias("delay")).write.parquet(f"{folder}/c")
+    spark.range(1, 20_000, 1, 1).select(F.lit("k").alias("key"), F.timestamp_millis(F.col("id") * 1000).alias("at"), F.col("id").alias("seq"), (F.col("id") % 7).alias("delay")).write.parquet(f"{tmp_path}/c")
     began = time.perf_counter()
-    got = keyed.emitted(keyed.delayed(spark.readStream.schema("key string, at timestamp, seq long, delay long").parquet(f"{folder}/c")))
+    got = keyed.emitted(keyed.delayed(spark.readStream.schema("key string, at timestamp, seq long, delay long").parquet(f"{tmp_path}/c")))
     assert {r["seq"] for r in got.collect()} == {i for i in range(1, 20_000) if i + i % 7 <= 19_999}
     assert time.perf_counter() - began < 60
 
